@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import sys
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# All characters that count as white space in Python, so that ``strip`` equals ``str.strip``.
+WHITE_SPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
+
+
 def strip(column: Column) -> Column:
-    """Remove blanks, tabs and line ends on both sides (``trim`` removes blanks only)."""
-    return F.regexp_replace(column, r"^\s+|\s+$", "")
+    """Remove white space of every kind on both sides (plain ``trim`` removes blanks only)."""
+    return F.btrim(column, F.lit(WHITE_SPACE))
 
 
 def contains_any(column: Column, keywords: Sequence[str]) -> Column:
@@ -33,11 +38,6 @@ def words(column: Column) -> Column:
     return F.array_remove(F.split(F.lower(column), r"[^\p{L}\p{N}]+"), "")
 
 
-def bind(column: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(column)`` with ``column`` computed once per row, also where a lambda in ``body`` uses it."""
-    return F.get(F.transform(F.array(column), body), 0)
-
-
 def char_grams(column: Column, n: int = 2) -> Column:
     """All runs of ``n`` characters in order; empty for a shorter text.
 

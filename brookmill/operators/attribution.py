@@ -19,13 +19,14 @@ def cell_ablation(df: DataFrame, groups: Mapping[str, Column], label: str) -> Da
     cells = df.groupBy(*[groups[g].alias(g) for g in names], F.col(label).alias("_label")).agg(
         F.count("*").alias("_n")
     )
-    total = cells.agg(F.sum("_n")).scalar()
     sets = [[g for i, g in enumerate(names) if mask >> i & 1] for mask in range(2 ** len(names))]
     level = F.grouping_id().alias("_gid")
     by_label = cells.groupingSets(
         [[F.col(c) for c in [*s, "_label"]] for s in sets], *names, "_label"
     ).agg(level, F.sum("_n").alias("_n"))
-    top = by_label.groupBy("_gid", *names).agg(F.max("_n").alias("_n"))
+    voted = by_label.groupBy("_gid", *names).agg(
+        F.max("_n").alias("_hits"), F.sum("_n").alias("_rows")
+    )
     # grouping_id has one bit per grouped column, the first one highest; a set bit means "not in the subset".
     members = F.filter(
         F.array(
@@ -37,9 +38,9 @@ def cell_ablation(df: DataFrame, groups: Mapping[str, Column], label: str) -> Da
         lambda g: g.isNotNull(),
     )
     return (
-        top.groupBy("_gid")
-        .agg(F.sum("_n").alias("_hits"))
-        .select(members.alias("subset"), F.round(F.col("_hits") / total, 6).alias("metric"))
+        voted.groupBy("_gid")
+        .agg((F.sum("_hits") / F.sum("_rows")).alias("_metric"))
+        .select(members.alias("subset"), F.round("_metric", 6).alias("metric"))
     )
 
 

@@ -156,7 +156,11 @@ def system_status(
 
 
 def log_filter(lines: DataFrame, keywords: Sequence[str] = LOG_KEYWORDS) -> DataFrame:
-    """Stripped, non-empty lines that contain a keyword; works on batches and streams."""
-    return lines.select(strip(F.col("line")).alias("line")).where(
-        (F.col("line") != "") & contains_any(F.col("line"), keywords)
+    """Stripped, non-empty lines that contain a keyword; works on batches and streams.
+
+    A stripped line is part of the raw one, so only raw lines with a keyword need stripping.
+    """
+    stripped = lines.where(contains_any(F.col("line"), keywords)).select(
+        strip(F.col("line")).alias("line")
     )
+    return stripped.where((F.col("line") != "") & contains_any(F.col("line"), keywords))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brookmill.functions.text import bind, char_grams, words
+from brookmill.functions.text import char_grams, words
 from brookmill.operators.cleaning import EMAIL, PHONE
 from brookmill.operators.skew import lookup
 from brookmill.session import materialise
@@ -19,47 +19,58 @@ from brookmill.session import materialise
 
 @dataclass(frozen=True)
 class Rule:
-    """A named pattern; a text that matches it adds ``weight`` to its score."""
+    """A named pattern; a text that matches it adds ``weight`` to its score.
+
+    ``needs`` is a literal that every match contains: a text without it is not tried.
+    """
 
     rule_id: str
     pattern: str
     weight: float
+    needs: str = ""
 
 
 RULES = (
-    Rule("email", EMAIL, 1.0),
+    Rule("email", EMAIL, 1.0, needs="@"),
     Rule("phone", PHONE, 1.0),
     Rule("licence", r"(?i)licen[sc]e|copyright", 0.5),
     Rule("symbols", r"[%*#]{3,}", 2.0),
 )
 
-TEXT_NUMBERS = ("n_chars", "n_words", "n_digits")
-
 # A gram is a few characters long, so this many rows of (gram, count) take tens of megabytes.
 GRAM_BROADCAST_ROWS = 300_000
 
 
-def rule_features(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``doc_id``, one 0/1 flag per rule, and the weighted ``score``.
+def rule_columns(rules: Sequence[Rule] = RULES) -> list[Column]:
+    """One 0/1 flag per rule over ``text``, and the weighted ``score``.
 
     The rules are part of the program, so each is a column expression: a scan with no join, in place
     of a documents x rules product.
     """
-    flagged = docs.select(
-        "doc_id", *[F.col("text").rlike(r.pattern).cast("int").alias(r.rule_id) for r in rules]
-    )
-    score = sum((F.col(r.rule_id) * F.lit(r.weight) for r in rules), F.lit(0.0))
-    return flagged.withColumn("score", score)
+    text = F.col("text")
+    hits = [
+        (text.contains(r.needs) & text.rlike(r.pattern) if r.needs else text.rlike(r.pattern)).cast("int")
+        for r in rules
+    ]
+    score = sum((hit * F.lit(r.weight) for r, hit in zip(rules, hits)), F.lit(0.0))
+    return [*[hit.alias(r.rule_id) for r, hit in zip(rules, hits)], score.alias("score")]
+
+
+def number_columns() -> list[Column]:
+    """Numeric columns of the whole ``text``."""
+    return [
+        F.col("n_chars"),
+        F.size(words(F.col("text"))).cast("bigint").alias("n_words"),
+        F.char_length(F.regexp_replace("text", "[^0-9]+", "")).cast("bigint").alias("n_digits"),
+    ]
+
+
+def rule_features(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    return docs.select("doc_id", *rule_columns(rules))
 
 
 def text_numbers(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and numeric columns of the whole text."""
-    return docs.select(
-        "doc_id",
-        "n_chars",
-        F.size(words(F.col("text"))).cast("bigint").alias("n_words"),
-        F.char_length(F.regexp_replace("text", "[^0-9]", "")).cast("bigint").alias("n_digits"),
-    )
+    return docs.select("doc_id", *number_columns())
 
 
 def feature_sample(docs: DataFrame, n: int = 1000) -> DataFrame:
@@ -81,36 +92,22 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
 
 
 def gram_counts(docs: DataFrame, n: int = 2) -> DataFrame:
-    """``doc_id, gram, tf`` with no shuffle: the grams of a text are sorted and counted in its row."""
-
-    def ends(grams: Column) -> Column:
-        last = F.size(grams) - 1
-        return F.filter(
-            F.when(last >= 0, F.sequence(F.lit(0), last)),
-            lambda i: (i == last) | (F.get(grams, i) != F.get(grams, i + 1)),
-        )
-
-    def counts(grams: Column, stops: Column) -> Column:
-        def count(stop: Column, i: Column) -> Column:
-            start = F.when(i == 0, -1).otherwise(F.get(stops, i - 1))
-            return F.struct(F.get(grams, stop).alias("gram"), (stop - start).alias("tf"))
-
-        return F.transform(stops, count)
+    """``doc_id, gram, tf`` of the whole texts.
 
-    runs = bind(
-        F.sort_array(char_grams(F.col("text"), n)),
-        lambda grams: bind(ends(grams), lambda stops: counts(grams, stops)),
+    The texts are shuffled by document, not the far more numerous grams; the counts then need no other shuffle.
+    """
+    grams = F.explode(char_grams(F.col("text"), n)).alias("gram")
+    return (
+        docs.repartition("doc_id")
+        .select("doc_id", grams)
+        .groupBy("doc_id", "gram")
+        .agg(F.count("*").alias("tf"))
     )
-    return docs.select("doc_id", F.explode(runs).alias("c")).select("doc_id", "c.gram", "c.tf")
 
 
-def document_frequency(docs: DataFrame, n: int = 2) -> DataFrame:
-    """``gram, df``: each text gives a gram once, and the map tasks combine them."""
-    return (
-        docs.select(F.explode(F.array_distinct(char_grams(F.col("text"), n))).alias("gram"))
-        .groupBy("gram")
-        .agg(F.count("*").alias("df"))
-    )
+def document_frequency(counts: DataFrame) -> DataFrame:
+    """``gram, df`` from the gram counts; the map tasks combine, so a common gram is cheap."""
+    return counts.groupBy("gram").agg(F.count("*").alias("df"))
 
 
 def char_tfidf(
@@ -118,18 +115,19 @@ def char_tfidf(
 ) -> DataFrame:
     """The ``top`` character grams of each document by ``tf * ln((N + 1) / (df + 1))``.
 
-    Counting needs no shuffle and the gram table is looked up where the rows are. Before
-    the only large shuffle, each task cuts its documents to their ``top`` grams.
+    The texts are taken apart once. Before the ranking shuffles anything, each task cuts its documents to
+    their ``top`` grams.
     """
-    frequency = materialise(document_frequency(docs, n), "gram-frequency")
+    counts = materialise(gram_counts(docs, n), "gram-counts")
+    frequency = materialise(document_frequency(counts), "gram-frequency")
     total = docs.agg(F.count("*")).scalar()
     idf = F.log((total + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     weights = frequency.withColumn("idf", idf)
-    scored = lookup(gram_counts(docs, n), weights, ["gram"], "df", ["doc_id"], broadcast_rows)
+    scored = lookup(counts, weights, ["gram"], "df", ["doc_id"], broadcast_rows)
     ranked = scored.select(
         "doc_id",
         "gram",
-        F.col("tf").cast("bigint").alias("tf"),
+        "tf",
         F.round(F.col("tf") * F.col("idf"), 6).alias("tfidf"),
     )
     order = W.partitionBy("doc_id").orderBy(F.desc("tfidf"), "gram")

@@ -32,7 +32,7 @@ FEATURES = (
 )
 STREAM_ROWS = 2_000
 STREAM_FILES = 1_000
-STREAM_BATCHES = 8
+STREAM_BATCHES = 5
 REPLAY_CAP = 6_000
 
 
@@ -164,9 +164,11 @@ def feature_fusion(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _model_input(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _texts(spark, folder)
-    numbers = features.text_numbers(docs).join(features.rule_features(docs), "doc_id")
-    return numbers.join(_labels(spark, folder).select("doc_id", "quality"), "doc_id", "left")
+    """All features of every document from one scan of its text, with the label if there is one."""
+    inputs = _texts(spark, folder).select(
+        "doc_id", *features.number_columns(), *features.rule_columns()
+    )
+    return inputs.join(_labels(spark, folder).select("doc_id", "quality"), "doc_id", "left")
 
 
 def rf_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,11 +194,8 @@ def ablation(spark: SparkSession, folder: str) -> DataFrame:
 
 def _cells(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents by language, length class and rule hit."""
-    docs = _texts(spark, folder)
-    rules = features.rule_features(docs).select("doc_id", "score")
-    joined = (
-        docs.select("doc_id", "lang", "n_chars").join(_labels(spark, folder), "doc_id")
-    ).join(rules, "doc_id")
+    docs = _texts(spark, folder).select("doc_id", "lang", "n_chars", *features.rule_columns())
+    joined = docs.join(_labels(spark, folder), "doc_id")
     groups = {
         "category": F.col("lang"),
         "length": F.length(F.col("n_chars").cast("string")),
@@ -214,7 +213,8 @@ def group_shapley(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def linear_shap(spark: SparkSession, folder: str) -> DataFrame:
-    return attribution.linear_shap(features.text_numbers(_texts(spark, folder)), COEFFICIENTS)
+    numbers = materialise(features.text_numbers(_texts(spark, folder)), "text-numbers")
+    return attribution.linear_shap(numbers, COEFFICIENTS)
 
 
 def deidentify(spark: SparkSession, folder: str) -> DataFrame:
@@ -261,7 +261,7 @@ QUERIES: dict[str, Query] = {
     "rule_features": lambda s, d: features.rule_features(_texts(s, d)),
     "feature_sample": lambda s, d: features.feature_sample(_docs(s, d), n=200),
     "feature_fusion": feature_fusion,
-    "char_tfidf": lambda s, d: features.char_tfidf(_texts(s, d)),
+    "char_tfidf": lambda s, d: features.char_tfidf(_docs(s, d)),
     "class_weights": lambda s, d: features.class_weights(_labels(s, d), "quality"),
     "rf_score": rf_score,
     "gbt_score": gbt_score,
