@@ -20,9 +20,17 @@ def backoff_delay(
     return F.least(F.lit(float(cap)), F.lit(float(base)) * F.pow(F.lit(float(factor)), attempt - 1))
 
 
-def epoch_seconds(ts: str, data_type: DataType) -> Column:
-    """Whole seconds since 1970, free of the session time zone for both timestamp types."""
+def slot_seconds(ts: str, data_type: DataType) -> Column:
+    """Whole seconds since a fixed origin, rounded down, free of the session time zone."""
     if isinstance(data_type, TimestampNTZType):
-        days = F.datediff(F.col(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
-        return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+        # The first day Spark supports: later times are positive, so the cast rounds down.
+        since = F.col(ts) - F.expr("TIMESTAMP_NTZ'0001-01-01 00:00:00'")
+        return since.cast("interval second").cast("bigint")
     return F.unix_seconds(ts)
+
+
+def elapsed(end: Column, start: Column, data_type: DataType) -> Column:
+    """Time that passed, as an interval; for zoned times also over a clock change."""
+    if isinstance(data_type, TimestampNTZType):
+        return end - start
+    return F.expr("INTERVAL '0.000001' SECOND") * (F.unix_micros(end) - F.unix_micros(start))

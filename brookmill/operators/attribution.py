@@ -39,8 +39,8 @@ def cell_ablation(df: DataFrame, groups: Mapping[str, Column], label: str) -> Da
     )
     return (
         voted.groupBy("_gid")
-        .agg((F.sum("_hits") / F.sum("_rows")).alias("_metric"))
-        .select(members.alias("subset"), F.round("_metric", 6).alias("metric"))
+        .agg((F.sum("_hits") / F.sum("_rows")).alias("metric"))
+        .select(members.alias("subset"), "metric")
     )
 
 

@@ -74,6 +74,7 @@ def ablation(
     label: str,
     estimator: Estimator,
     id: str = "doc_id",
+    balanced: bool = False,
     parallelism: int = 4,
 ) -> DataFrame:
     """``subset, metric``: area under the ROC curve of the test rows for every subset of groups.
@@ -85,6 +86,9 @@ def ablation(
         raise ValueError(f"{len(groups)} groups need {2 ** len(groups)} fits; merge some")
     ready = materialise(df.withColumn("fold", fold(id)), "ablation-input")
     train, test = ready.where("fold = 'train'"), ready.where("fold = 'test'")
+    if balanced:
+        train = balance(train, label)
+        estimator = estimator.copy().setWeightCol("weight")
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     subsets = [s for n in range(1, len(groups) + 1) for s in combinations(sorted(groups), n)]
 

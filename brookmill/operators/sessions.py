@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brookmill.functions.numbers import epoch_seconds
+from brookmill.functions.numbers import elapsed, slot_seconds
 from brookmill.operators.skew import BROADCAST_ROWS, lookup
 from brookmill.session import materialise
 
@@ -22,7 +22,7 @@ SIX_HOURS = 6 * 3600
 
 
 def _slot(df: DataFrame, ts: str, gap: int) -> Column:
-    return F.floor(epoch_seconds(ts, df.schema[ts].dataType) / gap)
+    return F.floor(slot_seconds(ts, df.schema[ts].dataType) / gap)
 
 
 def _slots(df: DataFrame, user: str, ts: str, gap: int, *totals: Column) -> DataFrame:
@@ -33,7 +33,7 @@ def _slots(df: DataFrame, user: str, ts: str, gap: int, *totals: Column) -> Data
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), *totals)
     )
     by_user = W.partitionBy(user).orderBy("_slot")
-    pause = F.col("_first") - F.lag("_last").over(by_user)
+    pause = elapsed(F.col("_first"), F.lag("_last").over(by_user), df.schema[ts].dataType)
     starts = F.coalesce((pause > F.lit(timedelta(seconds=gap))).cast("bigint"), F.lit(1))
     return slots.withColumn("_starts", starts).withColumn(
         "session_no", F.sum("_starts").over(by_user.rowsBetween(W.unboundedPreceding, 0))
@@ -78,7 +78,7 @@ def session_summary(
         F.count("*").alias("_n"),
         F.count_if(F.col(event_type) == "purchase").alias("_purchases"),
     )
-    length = F.col("end") - F.col("start")
+    length = elapsed(F.col("end"), F.col("start"), events.schema[ts].dataType)
     return (
         slots.groupBy(user, "session_no")
         .agg(

@@ -110,7 +110,7 @@ coalitions AS (
   SELECT a, b, c,
          concat_ws('+', CASE WHEN a = 0 THEN 'category' END, CASE WHEN b = 0 THEN 'length' END,
                    CASE WHEN c = 0 THEN 'rules' END) AS subset,
-         round(sum(n) / (SELECT count(*) FROM docs), 6) AS metric
+         sum(n) / (SELECT count(*) FROM docs) AS metric
   FROM best GROUP BY a, b, c
 )"""
 )
@@ -257,7 +257,7 @@ SELECT quality, count(*) AS n,
        round((SELECT count(*) FROM labels)
              / ((SELECT count(DISTINCT quality) FROM labels) * count(*)), 6) AS w
 FROM labels GROUP BY quality""",
-    "cell_ablation": f"WITH {CELLS} SELECT subset, metric FROM coalitions",
+    "cell_ablation": f"WITH {CELLS} SELECT subset, round(metric, 6) AS metric FROM coalitions",
     "group_shapley": f"""
 WITH {CELLS}
 SELECT 'category' AS grp, {_phi('a', 'b', 'c')} AS phi

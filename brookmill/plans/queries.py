@@ -176,12 +176,17 @@ def rf_score(spark: SparkSession, folder: str) -> DataFrame:
     return models.fit_score(_model_input(spark, folder), FUSED, "quality", forest)
 
 
-def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Balanced boosted trees on hashed character TF-IDF and the numeric columns together."""
+def _fused_input(spark: SparkSession, folder: str) -> DataFrame:
+    """The model input with hashed character TF-IDF."""
     grams = features.with_grams(_texts(spark, folder)).select("doc_id", "grams")
     vectors = features.tfidf_pipeline(features=256).fit(grams).transform(grams)
-    fused = _model_input(spark, folder).join(vectors.select("doc_id", "tfidf"), "doc_id")
+    return _model_input(spark, folder).join(vectors.select("doc_id", "tfidf"), "doc_id")
+
+
+def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Balanced boosted trees on TF-IDF and the numeric columns together."""
     trees = models.boosted_trees("quality")
+    fused = _fused_input(spark, folder)
     return models.fit_score(fused, [*FUSED, "tfidf"], "quality", trees, balanced=True)
 
 
@@ -205,7 +210,9 @@ def _cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cell_ablation(spark: SparkSession, folder: str) -> DataFrame:
-    return _cells(spark, folder).select(F.array_join("subset", "+").alias("subset"), "metric")
+    return _cells(spark, folder).select(
+        F.array_join("subset", "+").alias("subset"), F.round("metric", 6).alias("metric")
+    )
 
 
 def group_shapley(spark: SparkSession, folder: str) -> DataFrame:

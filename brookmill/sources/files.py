@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -56,19 +57,37 @@ def _fingerprint(df: DataFrame) -> DataFrame:
     )
 
 
+def write_formats(df: DataFrame, formats: Sequence[str] = FORMATS) -> dict[str, str]:
+    """Write ``df`` once per format; the path of each."""
+    paths = {name: shared_path(df.sparkSession, f"as-{name}") for name in formats}
+    for name, path in paths.items():
+        df.write.format(name).options(**OPTIONS.get(name, {})).save(path)
+    return paths
+
+
+def format_sizes(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """``format, mib`` of each written copy, from the file listing."""
+    return _union(
+        [
+            spark.read.format("binaryFile")
+            .load(path)
+            .agg(mib(F.sum("length")).alias("mib"))
+            .select(F.lit(name).alias("format"), "mib")
+            for name, path in paths.items()
+        ]
+    )
+
+
 def format_compare(df: DataFrame, formats: Sequence[str] = FORMATS) -> DataFrame:
     """Write ``df`` in each format, read it back, and report ``format, rows, same``.
 
-    ``df`` is read once for its own fingerprint and once per format; rows are never compared by a join.
+    Each copy is read once, for its fingerprint; rows are never compared by a join.
     """
-    spark = df.sparkSession
     expected = _fingerprint(df).select(F.struct("rows", "print")).scalar()
     results = []
-    for name in formats:
-        path = shared_path(spark, f"as-{name}")
-        options = OPTIONS.get(name, {})
-        df.write.format(name).options(**options).save(path)
-        back = spark.read.format(name).schema(df.schema).options(**options).load(path)
+    for name, path in write_formats(df, formats).items():
+        reader = df.sparkSession.read.format(name).schema(df.schema)
+        back = reader.options(**OPTIONS.get(name, {})).load(path)
         results.append(
             _fingerprint(back).select(
                 F.lit(name).alias("format"),
@@ -76,10 +95,11 @@ def format_compare(df: DataFrame, formats: Sequence[str] = FORMATS) -> DataFrame
                 F.struct("rows", "print").eqNullSafe(expected).alias("same"),
             )
         )
-    union = results[0]
-    for result in results[1:]:
-        union = union.unionByName(result)
-    return union
+    return _union(results)
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_daily(df: DataFrame, path: str, ts: str = "ts", day: str = "dt") -> None:

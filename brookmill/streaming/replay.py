@@ -49,14 +49,13 @@ def run_batches(
     transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     partition_by: Sequence[str] = (),
     interval_s: float | None = None,
-    timeout_s: float | None = None,
 ) -> None:
     """Run ``transform`` on each micro-batch and write it to ``out/batch_id=N``.
 
     A batch is one Parquet write that replaces its own folder, so a batch repeated after a failure neither
     loses nor doubles records. With ``partition_by`` the kinds of record (say, good and dead) are folders
-    of the same write and are committed together. Without ``interval_s`` the stored records are
-    read to the end; with it, one batch starts per interval until ``timeout_s``.
+    of the same write and are committed together. The stored records are read to the end: at once, or
+    with ``interval_s`` at the pace of one batch per interval.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -70,6 +69,28 @@ def run_batches(
     else:
         query = writer.trigger(processingTime=f"{interval_s} seconds").start()
     try:
-        query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
+        if interval_s is None:
+            query.awaitTermination()
+        else:
+            query.processAllAvailable()
     finally:
         query.stop()
+
+
+def replay_records(
+    df: DataFrame,
+    schema: str,
+    order: Sequence[str],
+    path: str,
+    transform: Callable[[DataFrame], DataFrame],
+    qps: float = 200,
+    max_records: int = 10_000,
+    interval_s: float = 1.0,
+    partition_by: Sequence[str] = (),
+) -> str:
+    """Replay the first ``max_records`` of ``df`` at ``qps`` records per second; the output path."""
+    capped = replay_cap(df, order, max_records)
+    stage(capped, f"{path}/in", order, rows_per_file(qps, interval_s))
+    stream = read_stream(df.sparkSession, f"{path}/in", schema, files_per_trigger=1)
+    run_batches(stream, f"{path}/out", f"{path}/state", transform, partition_by, interval_s)
+    return f"{path}/out"
