@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brookmill.functions.text import is_set, strip, contains_any, words
+from brookmill.functions.text import contains_any, is_set, strip, words
 
 # The names under which a model key may be configured.
 KEY_NAMES = (
@@ -118,6 +118,11 @@ def top_words(docs: DataFrame, k: int = 50, stop: Sequence[str] = ()) -> DataFra
     return word_counts(docs, stop).orderBy(F.desc("n"), "word").limit(k)
 
 
+def environment_keys(environ: Mapping[str, str]) -> list[tuple[str, str | None]]:
+    """The key names with their values in an environment such as ``os.environ``."""
+    return [(name, environ.get(name)) for name in KEY_NAMES]
+
+
 def _pairs(keys: Sequence[tuple[str, str | None]]) -> Column:
     return F.array(
         *[
@@ -139,7 +144,7 @@ def key_status(keys: Column) -> Column:
 
 
 def system_status(
-    docs: DataFrame, keys: Sequence[tuple[str, str | None]] = tuple((n, None) for n in KEY_NAMES)
+    docs: DataFrame, keys: Sequence[tuple[str, str | None]] = tuple(environment_keys({}))
 ) -> DataFrame:
     """One row: is a model key set, is there data, how many records."""
     state = docs.agg(F.count("*").alias("record_count")).withColumn(

@@ -134,29 +134,31 @@ def char_tfidf(
     return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("rank")
 
 
-def tfidf_pipeline(
-    features: int = 2**16, output: str = "tfidf", vocabulary: bool = False
-) -> Pipeline:
-    """Grams to unit-length TF-IDF vectors for Spark ML; the input column is ``grams``.
+def with_grams(docs: DataFrame, n: int = 2) -> DataFrame:
+    return docs.withColumn("grams", char_grams(F.col("text"), n))
 
-    Hashing needs no vocabulary on the driver. ``vocabulary=True`` keeps the ``features`` most frequent
-    grams instead, so that a vector index can be read back as its gram.
-    """
-    if vocabulary:
-        counts = CountVectorizer(inputCol="grams", outputCol="_tf", vocabSize=features)
-    else:
-        counts = HashingTF(inputCol="grams", outputCol="_tf", numFeatures=features)
-    return Pipeline(
-        stages=[
-            counts,
-            IDF(inputCol="_tf", outputCol="_idf"),
-            Normalizer(inputCol="_idf", outputCol=output),
-        ]
-    )
 
+def hashed_counts(df: DataFrame, features: int = 2**16) -> DataFrame:
+    """``grams`` as a vector of counts; hashing needs no vocabulary on the driver."""
+    return HashingTF(inputCol="grams", outputCol="tf", numFeatures=features).transform(df).drop("grams")
 
-def with_grams(docs: DataFrame, n: int = 2) -> DataFrame:
-    return docs.withColumn("grams", char_grams(F.col("text"), n))
+
+def _idf_stages(output: str) -> list:
+    return [IDF(inputCol="tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol=output)]
+
+
+def idf_pipeline(output: str = "tfidf") -> Pipeline:
+    """Hashed counts to unit-length TF-IDF vectors."""
+    return Pipeline(stages=_idf_stages(output))
+
+
+def vocabulary_pipeline(features: int = 2**16, output: str = "tfidf") -> Pipeline:
+    """``grams`` to unit-length TF-IDF vectors over the ``features`` most frequent grams.
+
+    Unlike a hash, an index of the vector can be read back as its gram.
+    """
+    counts = CountVectorizer(inputCol="grams", outputCol="tf", vocabSize=features)
+    return Pipeline(stages=[counts, *_idf_stages(output)])
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmill.functions.text import as_json
+from brookmill.functions.text import as_json, char_grams
 from brookmill.operators import attribution, cleaning, dashboard, faults, features, models, profile
 from brookmill.operators import sessions as sessions_
 from brookmill.session import materialise, shared_path
@@ -163,10 +163,10 @@ def feature_fusion(spark: SparkSession, folder: str) -> DataFrame:
     return features.feature_fusion(features.text_numbers(docs), _labels(spark, folder), batch)
 
 
-def _model_input(spark: SparkSession, folder: str) -> DataFrame:
+def _model_input(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:
     """All features of every document from one scan of its text, with the label if there is one."""
     inputs = _texts(spark, folder).select(
-        "doc_id", *features.number_columns(), *features.rule_columns()
+        "doc_id", *features.number_columns(), *features.rule_columns(), *extra
     )
     return inputs.join(_labels(spark, folder).select("doc_id", "quality"), "doc_id", "left")
 
@@ -177,10 +177,10 @@ def rf_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fused_input(spark: SparkSession, folder: str) -> DataFrame:
-    """The model input with hashed character TF-IDF."""
-    grams = features.with_grams(_texts(spark, folder)).select("doc_id", "grams")
-    vectors = features.tfidf_pipeline(features=256).fit(grams).transform(grams)
-    return _model_input(spark, folder).join(vectors.select("doc_id", "tfidf"), "doc_id")
+    """The model input with hashed character TF-IDF; the texts are taken apart once."""
+    inputs = _model_input(spark, folder, char_grams(F.col("text")).alias("grams"))
+    counted = materialise(features.hashed_counts(inputs, 256), "gram-vectors")
+    return features.idf_pipeline().fit(counted).transform(counted).drop("tf", "_idf")
 
 
 def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
