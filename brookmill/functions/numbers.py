@@ -13,6 +13,28 @@ def mib(length: str | Column) -> Column:
     return F.bround(column / F.lit(1024 * 1024), 1)
 
 
+def nearest(size: Column) -> Column:
+    """The nearest whole number to a double that is not negative; a half goes up."""
+    whole = F.floor(size)
+    return whole + F.when(size - whole >= 0.5, 1).otherwise(0)
+
+
+def rounded(column: Column, digits: int = 6) -> Column:
+    """Round a double half away from zero, in double arithmetic as other SQL engines do.
+
+    Spark's ``round`` goes through the printed decimal, which differs where that ends in 5.
+    """
+    scale = float(10**digits)
+    size = F.abs(column) * scale
+    return F.when(size < 2.0**52, F.signum(column) * nearest(size) / scale).otherwise(column)
+
+
+def cents(column: Column) -> Column:
+    """An amount in whole cents, rounded likewise."""
+    size = nearest(F.abs(column) * 100)
+    return F.when(column >= 0, size).otherwise(-size)
+
+
 def backoff_delay(
     attempt: Column, base: float = 1.0, factor: float = 2.0, cap: float = 60.0
 ) -> Column:

@@ -8,6 +8,8 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brookmill.functions.numbers import rounded
+
 
 def cell_ablation(df: DataFrame, groups: Mapping[str, Column], label: str) -> DataFrame:
     """``subset, metric``: accuracy of the majority label per cell, for every subset of groups.
@@ -59,7 +61,7 @@ def group_shapley(coalitions: DataFrame, groups: Sequence[str]) -> DataFrame:
     return (
         coalitions.select("subset", "metric", F.explode(F.array(*map(F.lit, groups))).alias("grp"))
         .groupBy("grp")
-        .agg(F.round(F.sum(part * F.col("metric")), 6).alias("phi"))
+        .agg(rounded(F.sum(part * F.col("metric"))).alias("phi"))
     )
 
 
@@ -72,7 +74,7 @@ def linear_shap(df: DataFrame, coef: Mapping[str, float], id: str = "doc_id") ->
     parts = [
         F.struct(
             F.lit(c).alias("feature"),
-            F.round(F.lit(float(w)) * (F.col(c) - means.select(c).scalar()), 6).alias("phi"),
+            rounded(F.lit(float(w)) * (F.col(c) - means.select(c).scalar())).alias("phi"),
         )
         for c, w in coef.items()
     ]

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brookmill.functions.numbers import rounded
 from brookmill.functions.text import contains_any, is_set, strip, words
 
 # The names under which a model key may be configured.
@@ -27,7 +28,7 @@ def category_distribution(docs: DataFrame, by: str = "lang") -> DataFrame:
     """``by, n, share``; the total is summed from the group counts, not from a second scan."""
     counts = docs.groupBy(by).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).scalar()
-    return counts.withColumn("share", F.round(F.col("n") / total, 6))
+    return counts.withColumn("share", rounded(F.col("n") / total))
 
 
 def label_by_category(

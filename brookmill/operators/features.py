@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from brookmill.functions.numbers import rounded
 from brookmill.functions.text import char_grams, words
 from brookmill.operators.cleaning import EMAIL, PHONE
 from brookmill.operators.skew import lookup
@@ -94,7 +95,7 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
 def gram_counts(docs: DataFrame, n: int = 2) -> DataFrame:
     """``doc_id, gram, tf`` of the whole texts.
 
-    The texts are shuffled by document, not the far more numerous grams; the counts then need no other shuffle.
+    The texts are shuffled by document, not the far more numerous grams; the counts need no other shuffle.
     """
     grams = F.explode(char_grams(F.col("text"), n)).alias("gram")
     return (
@@ -128,7 +129,7 @@ def char_tfidf(
         "doc_id",
         "gram",
         "tf",
-        F.round(F.col("tf") * F.col("idf"), 6).alias("tfidf"),
+        rounded(F.col("tf") * F.col("idf")).alias("tfidf"),
     )
     order = W.partitionBy("doc_id").orderBy(F.desc("tfidf"), "gram")
     return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("rank")
@@ -166,4 +167,4 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
     rows = counts.agg(F.sum("n")).scalar()
     classes = counts.agg(F.count("*")).scalar()
-    return counts.withColumn("w", F.round(rows / (classes * F.col("n")), 6))
+    return counts.withColumn("w", rounded(rows / (classes * F.col("n"))))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brookmill.functions.numbers import cents, rounded
 from brookmill.operators.skew import exact_percentiles
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -14,9 +15,7 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 def money_sum(column: str) -> Column:
     """Sum of amounts, each rounded to cents, in whole cents: exact, and the same in any order."""
-    hundredfold = F.col(column) * 100
-    cents = F.when(hundredfold >= 0, F.floor(hundredfold + 0.5)).otherwise(F.ceil(hundredfold - 0.5))
-    return F.sum(cents) / 100
+    return F.sum(cents(F.col(column))) / 100
 
 
 def etl_daily(events: DataFrame) -> DataFrame:
@@ -37,12 +36,12 @@ def log_stats(events: DataFrame, by: str = "event_type", value: str = "value") -
         F.count(value).alias("n"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        F.round(F.avg(value), 6).alias("avg"),
-        F.round(F.stddev_samp(value), 6).alias("sd"),
+        rounded(F.avg(value)).alias("avg"),
+        rounded(F.stddev_samp(value)).alias("sd"),
     )
     shares = {"p25": 0.25, "p50": 0.5, "p95": 0.95}
     ranks = exact_percentiles(events, by, value, shares)
-    ranks = ranks.select(F.col(by).alias("_by"), *[F.round(c, 6).alias(c) for c in shares])
+    ranks = ranks.select(F.col(by).alias("_by"), *[rounded(F.col(c)).alias(c) for c in shares])
     return moments.join(ranks, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
 
 
@@ -56,6 +55,6 @@ def user_features(events: DataFrame, event_types: Sequence[str] = EVENT_TYPES) -
         F.count("*").alias("n"),
         *[F.count_if(F.col("event_type") == t).alias(f"n_{t}") for t in event_types],
         F.countDistinct(F.to_date("ts")).alias("active_days"),
-        F.round(money_sum("value") / F.count("value"), 6).alias("mean_value"),
-        F.round(night / F.count("*"), 6).alias("night_share"),
+        rounded(money_sum("value") / F.count("value")).alias("mean_value"),
+        rounded(night / F.count("*")).alias("night_share"),
     )

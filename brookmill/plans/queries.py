@@ -8,6 +8,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brookmill.functions.numbers import rounded
 from brookmill.functions.text import as_json, char_grams
 from brookmill.operators import attribution, cleaning, dashboard, faults, features, models, profile
 from brookmill.operators import sessions as sessions_
@@ -211,7 +212,7 @@ def _cells(spark: SparkSession, folder: str) -> DataFrame:
 
 def cell_ablation(spark: SparkSession, folder: str) -> DataFrame:
     return _cells(spark, folder).select(
-        F.array_join("subset", "+").alias("subset"), F.round("metric", 6).alias("metric")
+        F.array_join("subset", "+").alias("subset"), rounded(F.col("metric")).alias("metric")
     )
 
 

@@ -1,7 +1,7 @@
 """Replay of stored records as a rate-limited stream, with one idempotent sink per batch.
 
-The file source is pulled: a batch admits a fixed number of files and the next is not read before the last one is
-committed. That bounds the rate and gives back-pressure without a queue.
+The file source is pulled: a batch admits a fixed number of files, and the next is not read before the last
+one is committed. That bounds the rate and gives back-pressure without a queue.
 """
 
 from __future__ import annotations
