@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmill.operators.features import class_weights
+from brookmill.operators.skew import lookup
 from brookmill.session import materialise
 
 MAX_GROUPS = 5
@@ -35,10 +36,10 @@ def fold(id: str) -> Column:
     return F.when(F.pmod(F.xxhash64(id), F.lit(5)) == 0, "test").otherwise("train")
 
 
-def balance(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Add the class weight of each row. There is one row per class, so Spark broadcasts it by size."""
-    weights = class_weights(df, label).select(label, F.col("w").alias(name))
-    return df.join(weights, label)
+def balance(df: DataFrame, label: str, id: str = "doc_id", name: str = "weight") -> DataFrame:
+    """Add the class weight of each row, without a shuffle of the rows by their few labels."""
+    weights = materialise(class_weights(df, label).withColumnRenamed("w", name), "class-weights")
+    return lookup(df, weights, [label], "n", [id])
 
 
 def fit(train: DataFrame, features: Sequence[str], estimator: Estimator) -> PipelineModel:
@@ -62,7 +63,7 @@ def fit_score(
     ready = materialise(df.withColumn("fold", parts), "model-input")
     train = ready.where("fold = 'train'")
     if balanced:
-        train = balance(train, label)
+        train = balance(train, label, id)
         estimator = estimator.copy().setWeightCol("weight")
     model = fit(train, features, estimator)
     return model.transform(ready).select(id, "fold", "prediction")
@@ -87,7 +88,7 @@ def ablation(
     ready = materialise(df.withColumn("fold", fold(id)), "ablation-input")
     train, test = ready.where("fold = 'train'"), ready.where("fold = 'test'")
     if balanced:
-        train = balance(train, label)
+        train = balance(train, label, id)
         estimator = estimator.copy().setWeightCol("weight")
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     subsets = [s for n in range(1, len(groups) + 1) for s in combinations(sorted(groups), n)]

@@ -164,12 +164,21 @@ def feature_fusion(spark: SparkSession, folder: str) -> DataFrame:
     return features.feature_fusion(features.text_numbers(docs), _labels(spark, folder), batch)
 
 
-def _model_input(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:
-    """All features of every document from one scan of its text, with the label if there is one."""
-    inputs = _texts(spark, folder).select(
+def _inputs(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:
+    """All features of every document, from one scan of its text."""
+    return _texts(spark, folder).select(
         "doc_id", *features.number_columns(), *features.rule_columns(), *extra
     )
-    return inputs.join(_labels(spark, folder).select("doc_id", "quality"), "doc_id", "left")
+
+
+def _with_label(inputs: DataFrame, folder: str) -> DataFrame:
+    """The features with the label, if there is one; what is joined holds no text any more."""
+    labels = _labels(inputs.sparkSession, folder).select("doc_id", "quality")
+    return inputs.join(labels, "doc_id", "left")
+
+
+def _model_input(spark: SparkSession, folder: str) -> DataFrame:
+    return _with_label(_inputs(spark, folder), folder)
 
 
 def rf_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,8 +188,8 @@ def rf_score(spark: SparkSession, folder: str) -> DataFrame:
 
 def _fused_input(spark: SparkSession, folder: str) -> DataFrame:
     """The model input with hashed character TF-IDF; the texts are taken apart once."""
-    inputs = _model_input(spark, folder, char_grams(F.col("text")).alias("grams"))
-    counted = materialise(features.hashed_counts(inputs, 256), "gram-vectors")
+    inputs = _inputs(spark, folder, char_grams(F.col("text")).alias("grams"))
+    counted = materialise(_with_label(features.hashed_counts(inputs, 256), folder), "gram-vectors")
     return features.idf_pipeline().fit(counted).transform(counted).drop("tf", "_idf")
 
 
