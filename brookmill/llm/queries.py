@@ -6,18 +6,52 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brookmill.llm.common import table
+from brookmill.llm import language, quality, toxicity
+from brookmill.llm.common import remainder, table
 from brookmill.llm.pieces import encoding_digests
+from brookmill.session import materialise
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def held_out(modulus: int, fold: int) -> Column:
+    """Is a row kept from learning? A null id has no fold: it is held out."""
+    return F.coalesce(remainder("doc_id", modulus) == fold, F.lit(True))
+
+
+def op1_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    languages = language.learn(docs.where(~held_out(3, 1)))
+    return language.identify(docs, languages, keep={"held_out": held_out(3, 1)})
+
+
+def fitted_toxicity(spark: SparkSession, folder: str, docs: DataFrame) -> toxicity.FactorizationMachine:
+    return toxicity.fit(docs, table(spark, folder, "labels").where(~held_out(3, 1)))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = fitted_toxicity(spark, folder, docs)
+    return toxicity.score(docs, model, keep={"held_out": held_out(3, 1)})
+
+
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    rows = materialise(quality.with_statistics(docs, keep={"held_out": held_out(5, 0)}), "statistics")
+    model = quality.fit(rows.where("NOT held_out").join(labels, "doc_id"), "quality")
+    return quality.score(rows, model, keep=["doc_id", "held_out"])
+
+
 def op9_pieces(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -> DataFrame:
     return encoding_digests(table(spark, folder, "documents"), Path(vocabulary).read_bytes())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_mixture": op1_language_mixture,
+    "op5_toxicity": op5_toxicity,
     "op9_pieces": op9_pieces,
+    "op10_quality": op10_quality,
 }
