@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmill.llm import language, quality, toxicity
+from brookmill.llm import chat, decontaminate, language, quality, toxicity
 from brookmill.llm.common import remainder, table
 from brookmill.llm.pieces import encoding_digests
 from brookmill.session import materialise
@@ -28,6 +28,11 @@ def op1_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, languages, keep={"held_out": held_out(3, 1)})
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, tests = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.match_digests(decontaminate.match_documents(docs, tests))
+
+
 def fitted_toxicity(spark: SparkSession, folder: str, docs: DataFrame) -> toxicity.FactorizationMachine:
     return toxicity.fit(docs, table(spark, folder, "labels").where(~held_out(3, 1)))
 
@@ -45,13 +50,22 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(rows, model, keep=["doc_id", "held_out"])
 
 
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    hard = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], rows.schema)
+    return chat.read_back(chat.format_turns(rows.union(added)))
+
+
 def op9_pieces(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -> DataFrame:
     return encoding_digests(table(spark, folder, "documents"), Path(vocabulary).read_bytes())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixture": op1_language_mixture,
+    "op2_decontaminate": op2_decontaminate,
     "op5_toxicity": op5_toxicity,
+    "op8_chat": op8_chat,
     "op9_pieces": op9_pieces,
     "op10_quality": op10_quality,
 }
