@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmill.llm import chat, decontaminate, language, quality, toxicity
+from brookmill.llm import chat, decontaminate, language, quality, simhash, toxicity
 from brookmill.llm.common import remainder, table
 from brookmill.llm.pieces import encoding_digests
 from brookmill.session import materialise
@@ -33,6 +33,10 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.match_digests(decontaminate.match_documents(docs, tests))
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.edited_fingerprints(table(spark, folder, "documents"))
+
+
 def fitted_toxicity(spark: SparkSession, folder: str, docs: DataFrame) -> toxicity.FactorizationMachine:
     return toxicity.fit(docs, table(spark, folder, "labels").where(~held_out(3, 1)))
 
@@ -64,6 +68,7 @@ def op9_pieces(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixture": op1_language_mixture,
     "op2_decontaminate": op2_decontaminate,
+    "op3_simhash": op3_simhash,
     "op5_toxicity": op5_toxicity,
     "op8_chat": op8_chat,
     "op9_pieces": op9_pieces,
