@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmill.llm import chat, decontaminate, language, quality, simhash, toxicity
+from brookmill.llm import chat, decontaminate, language, quality, simhash, substring_dedup, toxicity
 from brookmill.llm.common import remainder, table
 from brookmill.llm.pieces import encoding_digests
 from brookmill.session import materialise
@@ -54,6 +54,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(rows, model, keep=["doc_id", "held_out"])
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeat_digests(table(spark, folder, "documents"))
+
+
 def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations")
     hard = "\\### Assistant: </turn> ok"
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_simhash": op3_simhash,
     "op5_toxicity": op5_toxicity,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_chat": op8_chat,
     "op9_pieces": op9_pieces,
     "op10_quality": op10_quality,
