@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmill.llm import chat, decontaminate, language, quality, simhash, substring_dedup, toxicity
+from brookmill.llm import chat, decontaminate, language, quality, simhash, substring_dedup, suffix_dedup, toxicity
 from brookmill.llm.common import remainder, table
 from brookmill.llm.pieces import encoding_digests
 from brookmill.session import materialise
@@ -37,6 +37,10 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.edited_fingerprints(table(spark, folder, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(table(spark, folder, "documents"))
+
+
 def fitted_toxicity(spark: SparkSession, folder: str, docs: DataFrame) -> toxicity.FactorizationMachine:
     return toxicity.fit(docs, table(spark, folder, "labels").where(~held_out(3, 1)))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixture": op1_language_mixture,
     "op2_decontaminate": op2_decontaminate,
     "op3_simhash": op3_simhash,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_chat": op8_chat,
