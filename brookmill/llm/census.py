@@ -29,6 +29,7 @@ from pyspark.sql.types import StructType
 from brookmill.session import shared_path
 
 CHUNK_BYTES = 2 << 20
+BYTES_PER_WORD = 5  # about: sets the number of slices, not the results
 ANSWER = "chunk BIGINT, slice INT, answer BINARY"
 
 Arrays = dict[str, np.ndarray]
@@ -111,12 +112,16 @@ def pack(rows: DataFrame, text: str, size: int = CHUNK_BYTES) -> Chunks:
                 )
                 start = stop
 
-    spark = rows.sparkSession
+    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(rows.mapInArrow(run, from_arrow_schema(CHUNK)), schema, buckets)
+
+
+def stored(packed_rows: DataFrame, schema: StructType, buckets: int) -> Chunks:
+    """Write rows of ``chunk, bytes, body`` as a bucketed table in the shared folder."""
+    spark = packed_rows.sparkSession
     name = f"chunks_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        rows.mapInArrow(run, from_arrow_schema(CHUNK))
-        .write.bucketBy(buckets, "chunk")
+        packed_rows.write.bucketBy(buckets, "chunk")
         .option("path", shared_path(spark, name))
         .saveAsTable(name, format="parquet")
     )

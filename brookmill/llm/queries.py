@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmill.llm import chat, decontaminate, language, quality, simhash, substring_dedup, suffix_dedup, toxicity
+from brookmill.llm import chat, decontaminate, jaccard_join, language, quality, simhash, substring_dedup, suffix_dedup, toxicity
 from brookmill.llm.common import remainder, table
 from brookmill.llm.pieces import encoding_digests
 from brookmill.session import materialise
@@ -58,6 +58,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(rows, model, keep=["doc_id", "held_out"])
 
 
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeat_digests(table(spark, folder, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_chat": op8_chat,
     "op9_pieces": op9_pieces,

@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from brookmill.llm.census import Arrays, aligned, census, count_min, order_keys, pack, texts_of
+from brookmill.llm.census import BYTES_PER_WORD, Arrays, aligned, census, count_min, order_keys, pack, texts_of
 from brookmill.llm.words import Words, class_table, split_words, window_hashes
 
 WINDOW = 13
 SLICE_ITEMS = 1 << 20
-BYTES_PER_WORD = 5  # of the shortest usual texts: sets the number of slices, not the results
 INSIDE = class_table(bytes(b for b in range(256) if b != 32 and not 9 <= b <= 13))
 
 
