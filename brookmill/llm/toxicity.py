@@ -130,6 +130,8 @@ def fit(
     features = map_batches(labelled, hashed, "id BIGINT, label INT, terms BINARY")
     single = features.repartition(1).sortWithinPartitions("id", "label", "terms")
     row = map_batches(single, learn, "bias DOUBLE, weights BINARY, latent BINARY").first()
+    if row is None:  # no labelled row at all
+        return train([], np.zeros(0))
     return FactorizationMachine(
         row.bias, np.frombuffer(row.weights, np.float32), np.frombuffer(row.latent, np.float32).reshape(-1, FACTORS)
     )
