@@ -51,18 +51,21 @@ def group_shapley(coalitions: DataFrame, groups: Sequence[str]) -> DataFrame:
 
     With m groups, a subset of size s adds ``(s-1)! (m-s)! / m!`` of its metric to each member and
     takes ``s! (m-s-1)! / m!`` from each other group, so one pass replaces the join of S with S + g.
+    Without any subset, the values are null.
     """
     m = len(groups)
     share = [factorial(s) * factorial(m - s - 1) / factorial(m) for s in range(m)]
     shares = F.array(*[F.lit(w) for w in share])
     size = F.size("subset")
-    inside = F.array_contains(F.col("subset"), F.col("grp"))
-    part = F.when(inside, F.get(shares, size - 1)).otherwise(-F.get(shares, size))
-    return (
-        coalitions.select("subset", "metric", F.explode(F.array(*map(F.lit, groups))).alias("grp"))
-        .groupBy("grp")
-        .agg(rounded(F.sum(part * F.col("metric"))).alias("phi"))
-    )
+
+    def value(group: str) -> Column:
+        inside = F.array_contains(F.col("subset"), F.lit(group))
+        part = F.when(inside, F.get(shares, size - 1)).otherwise(-F.get(shares, size))
+        return F.sum(part * F.col("metric"))
+
+    sums = coalitions.agg(*[value(g).alias(f"_{i}") for i, g in enumerate(groups)])
+    rows = [F.struct(F.lit(g).alias("grp"), rounded(F.col(f"_{i}")).alias("phi")) for i, g in enumerate(groups)]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def linear_shap(df: DataFrame, coef: Mapping[str, float], id: str = "doc_id") -> DataFrame:

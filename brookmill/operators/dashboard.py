@@ -48,19 +48,21 @@ def drill_down(
 ) -> DataFrame:
     """Counts and characters per category, sub-category and in total; ``gid`` tells the level.
 
-    ``rollup`` repeats each input row once per level, so it runs on the group sums, not on the rows.
+    The levels are summed from the same group sums, whose shuffle they share. The total has a row for an
+    empty table too, with 0 documents (``rollup`` has none there).
     """
     leaves = docs.groupBy(*dims).agg(
         F.count("*").alias("n"), F.sum("n_chars").alias("chars")
     )
-    rolled = (
-        leaves.rollup(*dims)
-        .agg(
-            F.grouping_id().cast("int").alias("gid"),
-            F.sum("n").alias("n"),
-            F.sum("chars").alias("chars"),
-        )
-    )
+    levels = [(list(dims[:n]), (1 << (len(dims) - n)) - 1) for n in range(len(dims), 0, -1)]
+    types = {d: docs.schema[d].dataType for d in dims}
+
+    def at(kept: list[str], gid: int) -> DataFrame:
+        sums = leaves.groupBy(*kept).agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
+        keys = [F.col(d) if d in kept else F.lit(None).cast(types[d]).alias(d) for d in dims]
+        return sums.select(*keys, F.lit(gid).alias("gid"), F.coalesce("n", F.lit(0)).alias("n"), "chars")
+
+    rolled = reduce(DataFrame.unionByName, [at(kept, gid) for kept, gid in [*levels, ([], (1 << len(dims)) - 1)]])
     return rolled if level is None else rolled.where(F.col("gid") == level)
 
 
@@ -124,7 +126,7 @@ def environment_keys(environ: Mapping[str, str]) -> list[tuple[str, str | None]]
     return [(name, environ.get(name)) for name in KEY_NAMES]
 
 
-def _pairs(keys: Sequence[tuple[str, str | None]]) -> Column:
+def key_pairs(keys: Sequence[tuple[str, str | None]]) -> Column:
     return F.array(
         *[
             F.struct(F.lit(name).alias("name"), F.lit(value).cast("string").alias("value"))
@@ -149,7 +151,7 @@ def system_status(
 ) -> DataFrame:
     """One row: is a model key set, is there data, how many records."""
     state = docs.agg(F.count("*").alias("record_count")).withColumn(
-        "llm_active", F.size(key_status(_pairs(keys))["configured"]) > 0
+        "llm_active", F.size(key_status(key_pairs(keys))["configured"]) > 0
     )
     active = F.col("llm_active")
     return state.select(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, TimestampNTZType
 
 from brookmill.functions.numbers import backoff_delay
-from brookmill.operators.skew import BROADCAST_ROWS, lookup, number_rows
+from brookmill.operators.skew import BROADCAST_BYTES, lookup, number_rows
 from brookmill.session import materialise
 
 
@@ -36,7 +37,7 @@ def retry_ledger(
     base: float = 1.0,
     factor: float = 2.0,
     cap: float = 60.0,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``attempts, failures, status, next_delay_s`` of each task.
 
@@ -46,7 +47,7 @@ def retry_ledger(
     would sort all attempts of a hot task in one place.
     """
     task = list(task)
-    place = F.struct(*order)
+    place = packed_order(attempts, order)
     tried = attempts.select(*task, *order, ok)
     firsts = materialise(
         tried.groupBy(*task).agg(
@@ -55,7 +56,7 @@ def retry_ledger(
         "first-success",
     )
     counted = (
-        lookup(tried, firsts, task, "_n", order, broadcast_rows)
+        lookup(tried, firsts, task, "_n", order, broadcast_bytes)
         .where(F.col("_first_ok").isNull() | (place <= F.col("_first_ok")))
         .groupBy(*task)
         .agg(
@@ -77,6 +78,34 @@ def retry_ledger(
     )
 
 
+def packed_order(df: DataFrame, order: Sequence[str]) -> Column:
+    """Columns to order by as one value.
+
+    A time and a whole number are packed into one DECIMAL(38, 0), which has a fixed width: its minimum needs
+    no sort, unlike that of a struct. Other columns become a struct.
+    """
+    kinds = [df.schema[c].dataType for c in order]
+    if len(kinds) != 2 or not isinstance(kinds[0], TimestampNTZType) or not isinstance(kinds[1], LongType):
+        return F.struct(*order)
+    since = (F.col(order[0]) - F.expr("TIMESTAMP_NTZ'0001-01-01 00:00:00'")).cast("interval second")
+    micros = (since.cast("decimal(18,6)") * F.lit(1_000_000)).cast("decimal(18,0)")
+    number = F.col(order[1]).cast("decimal(20,0)") + F.expr("9223372036854775808BD")
+    return (micros * F.expr("100000000000000000000BD") + number).cast("decimal(38,0)")
+
+
 def dead_tasks(ledger: DataFrame) -> DataFrame:
     """Tasks that go to the dead-letter store."""
     return ledger.where("status = 'dlq'")
+
+
+def retried_to_death(
+    records: DataFrame, task: Sequence[str], order: Sequence[str], ok: str = "ok", max_failures: int = 3
+) -> DataFrame:
+    """The failed records of tasks that are out of retries, with all columns and the number of their ``attempt``.
+
+    Attempts after a task's first success do not count, as in ``retry_ledger``.
+    """
+    task = list(task)
+    dead = dead_tasks(retry_ledger(records, task, order, ok, max_failures)).select(*task, F.col("attempts").alias("_counted"))
+    numbered = number_rows(records, task, order, "attempt").where(~F.col(ok))
+    return numbered.join(dead, task).where(F.col("attempt") <= F.col("_counted")).drop("_counted")

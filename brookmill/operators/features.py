@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, Normalizer, VectorAssembler
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from brookmill.functions.numbers import rounded
 from brookmill.functions.text import char_grams, words
 from brookmill.operators.cleaning import EMAIL, PHONE
-from brookmill.operators.skew import lookup
+from brookmill.operators.skew import BROADCAST_BYTES, lookup
 from brookmill.session import materialise
 
 
@@ -38,9 +38,6 @@ RULES = (
     Rule("symbols", r"[%*#]{3,}", 2.0),
 )
 
-# A gram is a few characters long, so this many rows of (gram, count) take tens of megabytes.
-GRAM_BROADCAST_ROWS = 300_000
-
 
 def rule_columns(rules: Sequence[Rule] = RULES) -> list[Column]:
     """One 0/1 flag per rule over ``text``, and the weighted ``score``.
@@ -87,11 +84,6 @@ def feature_fusion(numbers: DataFrame, labels: DataFrame, rules: DataFrame) -> D
     return labels.join(numbers, "doc_id").join(rules, "doc_id")
 
 
-def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
-    """The given columns as one ML vector."""
-    return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)
-
-
 def gram_counts(docs: DataFrame, n: int = 2) -> DataFrame:
     """``doc_id, gram, tf`` of the whole texts.
 
@@ -112,7 +104,7 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 
 
 def char_tfidf(
-    docs: DataFrame, n: int = 2, top: int = 20, broadcast_rows: int = GRAM_BROADCAST_ROWS
+    docs: DataFrame, n: int = 2, top: int = 20, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """The ``top`` character grams of each document by ``tf * ln((N + 1) / (df + 1))``.
 
@@ -124,7 +116,7 @@ def char_tfidf(
     total = docs.agg(F.count("*")).scalar()
     idf = F.log((total + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     weights = frequency.withColumn("idf", idf)
-    scored = lookup(counts, weights, ["gram"], "df", ["doc_id"], broadcast_rows)
+    scored = lookup(counts, weights, ["gram"], "df", ["doc_id"], broadcast_bytes)
     ranked = scored.select(
         "doc_id",
         "gram",
@@ -135,36 +127,19 @@ def char_tfidf(
     return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("rank")
 
 
-def with_grams(docs: DataFrame, n: int = 2) -> DataFrame:
-    return docs.withColumn("grams", char_grams(F.col("text"), n))
-
-
 def hashed_counts(df: DataFrame, features: int = 2**16) -> DataFrame:
     """``grams`` as a vector of counts; hashing needs no vocabulary on the driver."""
     return HashingTF(inputCol="grams", outputCol="tf", numFeatures=features).transform(df).drop("grams")
 
 
-def _idf_stages(output: str) -> list:
-    return [IDF(inputCol="tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol=output)]
-
-
 def idf_pipeline(output: str = "tfidf") -> Pipeline:
     """Hashed counts to unit-length TF-IDF vectors."""
-    return Pipeline(stages=_idf_stages(output))
-
-
-def vocabulary_pipeline(features: int = 2**16, output: str = "tfidf") -> Pipeline:
-    """``grams`` to unit-length TF-IDF vectors over the ``features`` most frequent grams.
-
-    Unlike a hash, an index of the vector can be read back as its gram.
-    """
-    counts = CountVectorizer(inputCol="grams", outputCol="tf", vocabSize=features)
-    return Pipeline(stages=[counts, *_idf_stages(output)])
+    return Pipeline(stages=[IDF(inputCol="tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol=output)])
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """``label, n, w`` with ``w = N / (K * n)``, from the class counts alone."""
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
+    """``label, n, w`` with ``w = N / (K * n)``, from the class counts alone; a null label is no class."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
     rows = counts.agg(F.sum("n")).scalar()
     classes = counts.agg(F.count("*")).scalar()
     return counts.withColumn("w", rounded(rows / (classes * F.col("n"))))

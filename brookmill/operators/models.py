@@ -32,8 +32,9 @@ def boosted_trees(label: str, weight: str | None = None) -> GBTClassifier:
 
 
 def fold(id: str) -> Column:
-    """``test`` for a fifth of the ids, ``train`` for the rest; the same in every run."""
-    return F.when(F.pmod(F.xxhash64(id), F.lit(5)) == 0, "test").otherwise("train")
+    """``test`` for a fifth of the ids, ``train`` for the rest; the same in every run, and in SQL."""
+    digits = F.substring(F.md5(F.col(id).cast("string")), 1, 8)
+    return F.when(F.conv(digits, 16, 10).cast("bigint") % 5 == 0, "test").otherwise("train")
 
 
 def balance(df: DataFrame, label: str, id: str = "doc_id", name: str = "weight") -> DataFrame:
@@ -57,10 +58,11 @@ def fit_score(
 ) -> DataFrame:
     """Fit on the labelled train rows, score every row: ``id, fold, prediction``.
 
-    Rows without a label are scored too, as fold ``unlabelled``.
+    Rows without a label are scored too, as fold ``unlabelled``. ``df`` is read several times: materialise it
+    first. The fold is worked out on reading, not stored.
     """
     parts = F.when(F.col(label).isNull(), "unlabelled").otherwise(fold(id))
-    ready = materialise(df.withColumn("fold", parts), "model-input")
+    ready = df.withColumn("fold", parts)
     train = ready.where("fold = 'train'")
     if balanced:
         train = balance(train, label, id)
@@ -77,20 +79,22 @@ def ablation(
     id: str = "doc_id",
     balanced: bool = False,
     parallelism: int = 4,
+    max_groups: int = MAX_GROUPS,
 ) -> DataFrame:
     """``subset, metric``: area under the ROC curve of the test rows for every subset of groups.
 
     The empty subset has no information: 0.5. The number of fits doubles with each group, so groups are
-    limited; the fits run side by side and read the same materialised narrow table.
+    limited to ``max_groups``; the fits run side by side and read ``df``, which should be materialised and
+    narrow. The metric is exact: every distinct score is a point of the curve.
     """
-    if len(groups) > MAX_GROUPS:
+    if len(groups) > max_groups:
         raise ValueError(f"{len(groups)} groups need {2 ** len(groups)} fits; merge some")
-    ready = materialise(df.withColumn("fold", fold(id)), "ablation-input")
+    ready = df.withColumn("fold", fold(id))
     train, test = ready.where("fold = 'train'"), ready.where("fold = 'test'")
     if balanced:
         train = balance(train, label, id)
         estimator = estimator.copy().setWeightCol("weight")
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     subsets = [s for n in range(1, len(groups) + 1) for s in combinations(sorted(groups), n)]
 
     def measure(subset: tuple[str, ...]) -> tuple[list[str], float]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmill.functions.numbers import cents, rounded
-from brookmill.operators.skew import exact_percentiles
+from brookmill.operators.skew import percentiles_of_counts, range_counts
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
@@ -31,16 +31,32 @@ def etl_daily(events: DataFrame) -> DataFrame:
 
 
 def log_stats(events: DataFrame, by: str = "event_type", value: str = "value") -> DataFrame:
-    """``n, min, max, avg, sd`` and the exact ``p25, p50, p95`` of each group."""
-    moments = events.groupBy(by).agg(
-        F.count(value).alias("n"),
+    """``n, min, max, avg, sd`` and the exact ``p25, p50, p95`` of each group.
+
+    The log is scanned once, for the counts of its distinct values; all else comes from these. The squared
+    deviations are summed around the mean, which is known by then.
+    """
+    counted = range_counts(events, by, value)
+    n = F.when(F.col(value).isNotNull(), F.col("_n"))
+    sums = counted.groupBy(by).agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("n"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        rounded(F.avg(value)).alias("avg"),
-        rounded(F.stddev_samp(value)).alias("sd"),
+        (F.sum(F.col(value) * n) / F.sum(n)).alias("avg"),
+    )
+    means = sums.select(F.col(by).alias("_group"), F.col("avg").alias("_mean"))
+    deviation = F.sum(n * F.pow(F.col(value) - F.col("_mean"), 2)).alias("_squares")
+    squares = counted.join(means, F.col(by).eqNullSafe(F.col("_group"))).groupBy("_group").agg(deviation)
+    moments = sums.join(squares, F.col(by).eqNullSafe(F.col("_group")), "left").select(
+        by,
+        "n",
+        "min",
+        "max",
+        rounded(F.col("avg")).alias("avg"),
+        rounded(F.when(F.col("n") > 1, F.sqrt(F.col("_squares") / (F.col("n") - 1)))).alias("sd"),
     )
     shares = {"p25": 0.25, "p50": 0.5, "p95": 0.95}
-    ranks = exact_percentiles(events, by, value, shares)
+    ranks = percentiles_of_counts(counted.where(F.col(value).isNotNull()), by, value, shares)
     ranks = ranks.select(F.col(by).alias("_by"), *[rounded(F.col(c)).alias(c) for c in shares])
     return moments.join(ranks, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
 

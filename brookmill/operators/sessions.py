@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brookmill.functions.numbers import elapsed, slot_seconds
-from brookmill.operators.skew import BROADCAST_ROWS, lookup
+from brookmill.operators.skew import BROADCAST_BYTES, lookup
 from brookmill.session import materialise
 
 SIX_HOURS = 6 * 3600
@@ -28,7 +28,7 @@ def _slot(df: DataFrame, ts: str, gap: int) -> Column:
 def _slots(df: DataFrame, user: str, ts: str, gap: int, *totals: Column) -> DataFrame:
     """One row per (user, slot) with its ``session_no``."""
     slots = (
-        df.where(F.col(ts).isNotNull())
+        df.where(F.col(ts).isNotNull() & F.col(user).isNotNull())
         .groupBy(user, _slot(df, ts, gap).alias("_slot"))
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), *totals)
     )
@@ -46,7 +46,7 @@ def sessionize(
     ts: str = "ts",
     id: str = "event_id",
     gap: int = SIX_HOURS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the 1-based ``session_no``; a session starts when the pause is longer than ``gap`` seconds.
 
@@ -59,7 +59,7 @@ def sessionize(
         "session-slots",
     )
     slotted = events.withColumn("_slot", _slot(events, ts, gap))
-    return lookup(slotted, numbered, [user, "_slot"], "_n", [id], broadcast_rows).drop("_slot")
+    return lookup(slotted, numbered, [user, "_slot"], "_n", [id], broadcast_bytes).drop("_slot")
 
 
 def session_summary(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from brookmill.session import materialise
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 HOT_SHARE = 1_000
 SALTS = 4_096
 
@@ -26,30 +26,37 @@ def _match(
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
+def fits(df: DataFrame, limit: int) -> bool:
+    """Do all values of ``df`` take at most ``limit`` bytes? A row counts 16 bytes and the length of its values as text."""
+    size = F.lit(16) + sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    return (df.agg(F.sum(size)).first()[0] or 0) <= limit
+
+
 def lookup(
     facts: DataFrame,
     dim: DataFrame,
     keys: Sequence[str],
     weight: str,
     spread: Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left-join the columns of ``dim`` to ``facts`` without sending a hot key to one task.
 
     ``dim`` has one row per key, is already materialised, and counts in ``weight`` how many rows of
-    ``facts`` have that key. If it holds at most ``broadcast_rows`` rows it is broadcast. Otherwise
-    only the keys with more than 1/1000 of all rows are: there are fewer than 1000 of them, however
-    large the data. Their rows then pass through the second join under a random salt, spread by
+    ``facts`` have that key. If it holds at most ``broadcast_bytes`` it is broadcast. Otherwise only
+    the hot keys are: those with more rows than a shuffle partition holds on average, or than 1/1000 of all rows, if
+    that is less. There are fewer of them than partitions, or than 1000. Their rows then pass through the second join under a random salt, spread by
     the columns of ``spread``, while all other keys meet in a normal shuffle join.
     """
     keys = list(keys)
     attributes = [c for c in dim.columns if c not in keys and c != weight]
-    if dim.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if fits(dim, broadcast_bytes):
         return _match(facts, dim.select(*keys, *attributes), keys, "left", small=True)
 
     found = F.struct(*attributes)
     total = dim.agg(F.sum(weight)).scalar()
-    hot = dim.where(F.col(weight) * HOT_SHARE > total).select(*keys, found.alias("_hot"))
+    parts = max(HOT_SHARE, int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = dim.where(F.col(weight) * parts > total).select(*keys, found.alias("_hot"))
     salt = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int") + 1
     )
@@ -93,18 +100,29 @@ def exact_percentiles(
 ) -> DataFrame:
     """Exact, interpolated percentiles per group, one output column for each item of ``shares``.
 
-    Equal values collapse to a count in the map tasks. The distinct values are then range-partitioned, so
-    a large group lies in many ranges; range sizes tell which range holds a wanted rank, and
-    only those ranges are sorted.
-    """
-    counted = materialise(
-        df.where(F.col(value).isNotNull())
-        .groupBy(by, value)
+    See ``range_counts`` and ``percentiles_of_counts``; null values are left out."""
+    counted = range_counts(df.where(F.col(value).isNotNull()), by, value)
+    return percentiles_of_counts(counted, by, value, shares)
+
+
+def range_counts(df: DataFrame, by: str, value: str) -> DataFrame:
+    """``by, value, _n, _range``: how often each value occurs in its group, in ordered ranges. Null values are kept."""
+    return materialise(
+        df.groupBy(by, value)
         .agg(F.count("*").alias("_n"))
         .repartitionByRange(by, value)
         .withColumn("_range", F.spark_partition_id()),
         "distinct-values",
     )
+
+
+def percentiles_of_counts(counted: DataFrame, by: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """Percentiles from ``range_counts`` without null values.
+
+    Equal values collapse to a count in the map tasks. The distinct values are then range-partitioned, so
+    a large group lies in many ranges; range sizes tell which range holds a wanted rank, and
+    only those ranges are sorted.
+    """
     group = W.partitionBy(by)
     before = group.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     sizes = (
@@ -130,7 +148,9 @@ def exact_percentiles(
         )
     ).drop("_size")
     running = W.partitionBy(by, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    placed = _match(counted, wanted, [by, "_range"], "inner").withColumn(
+    wanted = materialise(wanted, "wanted-ranges")
+    small = fits(wanted, BROADCAST_BYTES)
+    placed = _match(counted, wanted, [by, "_range"], "inner", small).withColumn(
         "_upto", F.col("_before") + F.sum("_n").over(running)
     )
 

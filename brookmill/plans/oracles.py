@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from brookmill.operators.dashboard import KEY_NAMES
+
 DIRTY = """
 dirty AS (
-  SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts,
+  SELECT CASE WHEN event_id % 83 = 0 THEN 'x' ELSE '' END || CAST(event_id AS VARCHAR) AS event_id,
+         CASE WHEN event_id % 79 = 0 THEN 'yesterday' ELSE CAST(ts AS VARCHAR) END AS ts,
          CASE WHEN event_id % 97 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
          CASE WHEN event_id % 7 = 0 THEN '  ' || event_type || ' ' ELSE event_type END AS event_type,
          CASE WHEN event_id % 89 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS value,
@@ -31,15 +34,22 @@ clean AS (
 )"""
 )
 
-DLQ = (
+MARKED = (
     "WITH "
     + DIRTY
     + """,
 marked AS (
-  SELECT CASE WHEN TRY_CAST(user_id AS BIGINT) IS NULL THEN 'null_user'
-              WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN 'bad_value' ELSE '' END AS reason
+  SELECT *, CASE WHEN TRY_CAST(user_id AS BIGINT) IS NULL THEN 'null_user'
+                 WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN 'bad_value'
+                 WHEN TRY_CAST(event_id AS BIGINT) IS NULL THEN 'bad_id'
+                 WHEN TRY_CAST(ts AS TIMESTAMP) IS NULL THEN 'bad_time' ELSE '' END AS reason
   FROM dirty
+)"""
 )
+
+DLQ = (
+    MARKED
+    + """
 SELECT CASE WHEN reason = '' THEN 'ok' ELSE 'dlq' END AS status, reason, count(*) AS n
 FROM marked GROUP BY ALL"""
 )
@@ -48,7 +58,7 @@ SESSIONS = """
 paused AS (
   SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
                       <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS starts
-  FROM events
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL
 ),
 sessions AS (
   SELECT event_id, ts, user_id, event_type, value, props,
@@ -116,6 +126,17 @@ coalitions AS (
 )
 
 
+FOLDS = """
+SELECT doc_id, true AS valid,
+       CASE WHEN quality IS NULL THEN 'unlabelled'
+            WHEN CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 5 = 0 THEN 'test'
+            ELSE 'train' END AS fold
+FROM documents LEFT JOIN labels USING (doc_id)"""
+
+# Of the model keys, the first is set, the second is empty, and the others are missing.
+STATES = ("'a key'", "''", "NULL", "NULL", "NULL")
+
+
 def _phi(own: str, first: str, second: str) -> str:
     """Shapley value of one of three groups, from the definition: weighted gains over all subsets."""
     joined = f"x.{first} = y.{first} AND x.{second} = y.{second}"
@@ -182,7 +203,11 @@ SELECT user_id, count(*) AS n,
        round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value), 6) AS mean_value,
        round(count(*) FILTER (hour(ts) < 6) / count(*), 6) AS night_share
 FROM events GROUP BY user_id""",
-    "sessionize": f"WITH {SESSIONS} SELECT * FROM sessions",
+    "sessionize": f"""
+WITH {SESSIONS}
+SELECT * FROM sessions
+UNION ALL SELECT event_id, ts, user_id, event_type, value, props, NULL
+FROM events WHERE user_id IS NULL OR ts IS NULL""",
     "session_summary": f"""
 WITH {SESSIONS}
 SELECT user_id, session_no, min(ts) AS start, max(ts) AS "end", count(*) AS n,
@@ -222,13 +247,53 @@ SELECT format, (SELECT count(*) FROM events) AS rows, true AS same
 FROM (VALUES ('csv'), ('json'), ('parquet'), ('orc')) AS formats(format)""",
     "csv_roundtrip": f"""
 WITH {DIRTY}
-SELECT TRY_CAST(value AS DOUBLE) IS NULL AS corrupt, count(*) AS n FROM dirty GROUP BY ALL""",
+SELECT TRY_CAST(value AS DOUBLE) IS NULL OR TRY_CAST(event_id AS BIGINT) IS NULL
+       OR TRY_CAST(ts AS TIMESTAMP) IS NULL AS corrupt, count(*) AS n
+FROM dirty GROUP BY ALL""",
     "replay_cap": """
 SELECT event_id, ts, user_id, event_type, value, props FROM events ORDER BY ts, event_id LIMIT 6000""",
     "stream_replay": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_label": """
 SELECT event_id, CAST(event_type = 'error' OR value > 250 AS INTEGER) AS prediction FROM events""",
     "stream_dead_letters": DLQ,
+    "dead_letters": f"""
+{MARKED},
+{CLEAN.removeprefix(DIRTY).removeprefix(",")},
+attempts AS (
+  SELECT *, CAST(ts AS DATE) AS dt, event_type <> 'error' AS ok,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS attempt
+  FROM clean
+),
+firsts AS (
+  SELECT *, min(CASE WHEN ok THEN attempt END) OVER (PARTITION BY user_id, dt) AS first_ok FROM attempts
+),
+failures AS (
+  SELECT *, count(*) OVER (PARTITION BY user_id, dt) AS n FROM firsts
+  WHERE NOT ok AND (first_ok IS NULL OR attempt < first_ok)
+),
+dead AS (
+  SELECT reason, event_id, ts, user_id, event_type, value, props, 1 AS attempt FROM marked WHERE reason <> ''
+  UNION ALL
+  SELECT 'out_of_retries', CAST(event_id AS VARCHAR), CAST(ts AS VARCHAR), CAST(user_id AS VARCHAR), event_type,
+         CAST(value AS VARCHAR), props, attempt
+  FROM failures WHERE n >= 3
+)
+SELECT reason, CAST(attempt AS BIGINT) AS attempt,
+       '{{"event_id":' || to_json(event_id) || ',"ts":' || to_json(ts)
+       || CASE WHEN user_id IS NULL THEN '' ELSE ',"user_id":' || to_json(user_id) END
+       || ',"event_type":' || to_json(event_type) || ',"value":' || to_json(value)
+       || ',"props":' || to_json(props) || '}}' AS payload
+FROM dead""",
+    "stream_model_label": "SELECT event_id, CAST(value >= 250 AS INTEGER) AS prediction FROM events",
+    "reviews": """
+SELECT lang AS category, quality AS label, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars
+FROM documents JOIN labels USING (doc_id) GROUP BY ALL""",
+    "rf_check": FOLDS,
+    "gbt_check": FOLDS,
+    "ablation_check": """
+SELECT concat_ws('+', CASE WHEN a THEN 'digits' END, CASE WHEN b THEN 'length' END,
+                 CASE WHEN c THEN 'rules' END) AS subset, true AS valid
+FROM (VALUES (false), (true)) x(a), (VALUES (false), (true)) y(b), (VALUES (false), (true)) z(c)""",
     "rule_features": f"WITH {RULES} SELECT doc_id, email, phone, licence, symbols, score FROM rules",
     "feature_sample": """
 SELECT doc_id FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 200""",
@@ -254,9 +319,9 @@ FROM counts JOIN weights USING (gram)
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * idf, 6) DESC, gram) <= 20""",
     "class_weights": """
 SELECT quality, count(*) AS n,
-       round((SELECT count(*) FROM labels)
+       round((SELECT count(quality) FROM labels)
              / ((SELECT count(DISTINCT quality) FROM labels) * count(*)), 6) AS w
-FROM labels GROUP BY quality""",
+FROM labels WHERE quality IS NOT NULL GROUP BY quality""",
     "cell_ablation": f"WITH {CELLS} SELECT subset, round(metric, 6) AS metric FROM coalitions",
     "group_shapley": f"""
 WITH {CELLS}
@@ -273,6 +338,18 @@ UNION ALL SELECT doc_id, 'n_digits', round(0.5e0 * (n_digits - d), 6) FROM numbe
 SELECT 'degraded' AS status, false AS llm_active, 'API_KEY_MISSING' AS reason,
        count(*) > 0 AS data_files_available, count(*) AS record_count
 FROM documents""",
+    "system_status_active": f"""
+WITH keys AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{k}', {v})" for i, (k, v) in enumerate(zip(KEY_NAMES, STATES)))}) t(i, name, value)),
+state AS (
+  SELECT count(*) FILTER (coalesce(value, '') <> '') > 0 AS active,
+         coalesce(string_agg(name, ', ' ORDER BY i) FILTER (coalesce(value, '') = ''), '') AS missing
+  FROM keys
+)
+SELECT CASE WHEN active THEN 'ok' ELSE 'degraded' END AS status, active AS llm_active,
+       CASE WHEN NOT active THEN 'API_KEY_MISSING' END AS reason,
+       (SELECT count(*) FROM documents) > 0 AS data_files_available,
+       (SELECT count(*) FROM documents) AS record_count, missing
+FROM state""",
     "system_status_json": """
 SELECT '{"status":"degraded","llm_active":false,"reason":"API_KEY_MISSING",'
        || '"data_files_available":' || CAST(count(*) > 0 AS VARCHAR)

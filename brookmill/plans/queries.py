@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import ceil
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmill.functions.numbers import rounded
-from brookmill.functions.text import as_json, char_grams
+from brookmill.functions.text import as_json, char_grams, join_list
 from brookmill.operators import attribution, cleaning, dashboard, faults, features, models, profile
 from brookmill.operators import sessions as sessions_
 from brookmill.session import materialise, shared_path
 from brookmill.sources import csv_files, files
+from brookmill.sources.models import load_model, save_model
 from brookmill.sources.tables import EVENTS, load, spread
 from brookmill.streaming import replay, scoring
 
@@ -31,9 +33,9 @@ FEATURE_GROUPS = {
 FEATURES = (
     "doc_id BIGINT, email INT, phone INT, licence INT, symbols INT, score DOUBLE"
 )
-STREAM_ROWS = 2_000
-STREAM_FILES = 1_000
-STREAM_BATCHES = 5
+STREAM_ROWS = 10_000
+STREAM_FILES = 2
+TFIDF_FEATURES = 4_096
 REPLAY_CAP = 6_000
 
 
@@ -42,8 +44,8 @@ def dirty_events(events: DataFrame) -> DataFrame:
     id = F.col("event_id")
     copies = F.when(id % 50 == 0, 2).otherwise(1)
     return events.select(
-        id.cast("string").alias("event_id"),
-        F.col("ts").cast("string").alias("ts"),
+        F.when(id % 83 == 0, F.concat(F.lit("x"), id)).otherwise(id.cast("string")).alias("event_id"),
+        F.when(id % 79 == 0, "yesterday").otherwise(F.col("ts").cast("string")).alias("ts"),
         F.when(id % 97 != 0, F.col("user_id").cast("string")).alias("user_id"),
         F.when(id % 7 == 0, F.concat(F.lit("  "), "event_type", F.lit(" ")))
         .otherwise(F.col("event_type"))
@@ -88,10 +90,11 @@ def _attempts(events: DataFrame) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_path(spark, "log-csv")
     csv_files.write_csv(dirty_events(_events(spark, folder)), path)
-    log = materialise(csv_files.read_log(spark, path, EVENTS), "log")
-    return log.groupBy(F.col(csv_files.CORRUPT).isNotNull().alias("corrupt")).agg(
-        F.count("*").alias("n")
-    )
+    log = csv_files.read_log(spark, path, EVENTS)
+    # The checksum makes the scan parse all fields, so that the flag sees all their errors.
+    fields = [c for c in log.columns if c != csv_files.CORRUPT]
+    log = log.select(F.col(csv_files.CORRUPT).isNotNull().alias("corrupt"), F.xxhash64(*fields).alias("checksum"))
+    return materialise(log, "corrupt-flags").groupBy("corrupt").agg(F.count("*").alias("n"))
 
 
 def etl_store(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,13 +119,16 @@ def _streamed(
     schema: str,
     transform: Callable[[DataFrame], DataFrame],
     partition_by: tuple[str, ...] = (),
+    rows: int = STREAM_ROWS,
+    files_per_trigger: int = STREAM_FILES,
 ) -> str:
-    """Stage ``source`` as files, stream them in a few batches; the output path."""
+    """Stage ``source`` as files of at most ``rows`` rows and stream them; the output path.
+
+    A batch admits ``files_per_trigger`` files, whatever the size of the source: more data are more batches.
+    """
     path = shared_path(spark, "replay")
-    rows = max(STREAM_ROWS, ceil(source.count() / STREAM_FILES))
     replay.stage(source, f"{path}/in", ["ts", "event_id"], rows)
-    staged = files.file_inventory(spark, f"{path}/in/*.parquet").count()
-    stream = replay.read_stream(spark, f"{path}/in", schema, max(1, ceil(staged / STREAM_BATCHES)))
+    stream = replay.read_stream(spark, f"{path}/in", schema, files_per_trigger)
     replay.run_batches(stream, f"{path}/out", f"{path}/state", transform, partition_by)
     return f"{path}/out"
 
@@ -146,6 +152,50 @@ def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.split_counts(stored)
 
 
+def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """All dead letters of the raw log: records that break a rule, and failed records of tasks out of retries."""
+    raw = dirty_events(_events(spark, folder))
+    _, broken = cleaning.dlq_split(raw)
+    log = cleaning.clean_log(raw).drop("k").withColumns(
+        {"dt": F.to_date("ts"), "ok": F.col("event_type") != "error"}
+    )
+    tried = faults.retried_to_death(materialise(log, "clean-log"), ["user_id", "dt"], ["ts", "event_id"])
+    spent = cleaning.dead_letters(tried, raw.columns, F.lit("out_of_retries"), F.col("attempt"))
+    return broken.unionByName(spent)
+
+
+def stream_model_label(spark: SparkSession, folder: str) -> DataFrame:
+    """A fitted pipeline, saved, loaded and applied to each micro-batch.
+
+    Its only stage cuts the value at the limit, so that SQL can state the labels.
+    """
+    cut = Bucketizer(splits=[float("-inf"), scoring.LIMIT, float("inf")], inputCol="value", outputCol="prediction")
+    path = shared_path(spark, "model")
+    save_model(Pipeline(stages=[cut]).fit(_events(spark, folder)), path)
+    model = load_model(path)
+    out = _streamed(spark, _events(spark, folder), EVENTS, lambda batch: scoring.label(batch, model))
+    return spark.read.schema("event_id BIGINT, prediction INT, batch_id INT").parquet(out).drop("batch_id")
+
+
+def reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled reviews from the first of two accepted places that exists: one CSV row per document, counted by label."""
+    place = shared_path(spark, "reviews-csv")
+    rows = _docs(spark, folder).select("doc_id", F.col("lang").alias("category"), "n_chars").join(_labels(spark, folder), "doc_id")
+    csv_files.write_csv(rows.select("doc_id", "category", F.col("quality").alias("label"), "n_chars"), place)
+    accepted = [f"{place}-elsewhere", place]
+    if not files.any_file_available(spark, accepted):
+        raise FileNotFoundError(place)
+    read = csv_files.read_reviews(spark, accepted, "doc_id BIGINT, category STRING, label INT, n_chars BIGINT")
+    return read.groupBy("category", "label").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+
+
+def system_status_active(spark: SparkSession, folder: str) -> DataFrame:
+    """The status with one key set, one set to nothing and the others missing, and the names of the latter."""
+    keys = dashboard.environment_keys(dict(zip(dashboard.KEY_NAMES, ["a key", ""])))
+    missing = dashboard.key_status(dashboard.key_pairs(keys))["missing"]
+    return dashboard.system_status(_docs(spark, folder), keys).withColumn("missing", join_list(missing))
+
+
 def system_status(spark: SparkSession, folder: str) -> DataFrame:
     return dashboard.system_status(_docs(spark, folder))
 
@@ -157,11 +207,13 @@ def system_status_json(spark: SparkSession, folder: str) -> DataFrame:
 
 def feature_fusion(spark: SparkSession, folder: str) -> DataFrame:
     """The rule features travel as a feature-batch CSV, as they would from another job."""
-    docs = _texts(spark, folder)
     path = shared_path(spark, "features-csv")
-    csv_files.write_csv(features.rule_features(docs), path)
+    both = _texts(spark, folder).select("doc_id", *features.number_columns(), *features.rule_columns())
+    both = materialise(both, "features")  # the only scan of the texts
+    numbers, rules = both.select("doc_id", "n_chars", "n_words", "n_digits"), [c.split()[0] for c in FEATURES.split(", ")]
+    csv_files.write_csv(both.select(rules), path)
     batch = csv_files.read_features(spark, path, FEATURES)
-    return features.feature_fusion(features.text_numbers(docs), _labels(spark, folder), batch)
+    return features.feature_fusion(numbers, _labels(spark, folder), batch)
 
 
 def _inputs(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:
@@ -178,7 +230,8 @@ def _with_label(inputs: DataFrame, folder: str) -> DataFrame:
 
 
 def _model_input(spark: SparkSession, folder: str) -> DataFrame:
-    return _with_label(_inputs(spark, folder), folder)
+    """Narrow rows, read by every fit and score: written once."""
+    return materialise(_with_label(_inputs(spark, folder), folder), "model-input")
 
 
 def rf_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -186,10 +239,13 @@ def rf_score(spark: SparkSession, folder: str) -> DataFrame:
     return models.fit_score(_model_input(spark, folder), FUSED, "quality", forest)
 
 
-def _fused_input(spark: SparkSession, folder: str) -> DataFrame:
-    """The model input with hashed character TF-IDF; the texts are taken apart once."""
+def _fused_input(spark: SparkSession, folder: str, buckets: int = TFIDF_FEATURES) -> DataFrame:
+    """The model input with character TF-IDF hashed to ``buckets``; the texts are taken apart once.
+
+    The count vectors are the one table that is written; weighting them is a projection on reading.
+    """
     inputs = _inputs(spark, folder, char_grams(F.col("text")).alias("grams"))
-    counted = materialise(_with_label(features.hashed_counts(inputs, 256), folder), "gram-vectors")
+    counted = materialise(_with_label(features.hashed_counts(inputs, buckets), folder), "gram-vectors")
     return features.idf_pipeline().fit(counted).transform(counted).drop("tf", "_idf")
 
 
@@ -207,6 +263,25 @@ def ablation(spark: SparkSession, folder: str) -> DataFrame:
     return result.select(F.array_join("subset", "+").alias("subset"), "metric")
 
 
+def _checked(scored: DataFrame) -> DataFrame:
+    return scored.select("doc_id", "fold", F.col("prediction").isin(0.0, 1.0).alias("valid"))
+
+
+def rf_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds for the scores whatever the trees: one row per document, its fold, a label as prediction."""
+    return _checked(rf_score(spark, folder))
+
+
+def gbt_check(spark: SparkSession, folder: str) -> DataFrame:
+    return _checked(gbt_score(spark, folder))
+
+
+def ablation_check(spark: SparkSession, folder: str) -> DataFrame:
+    """All subsets of the groups, each with a metric between 0 and 1, which is 0.5 for the empty one."""
+    metric = F.col("metric")
+    return ablation(spark, folder).select("subset", ((metric >= 0) & (metric <= 1) & ((F.col("subset") != "") | (metric == 0.5))).alias("valid"))
+
+
 def _cells(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents by language, length class and rule hit."""
     docs = _texts(spark, folder).select("doc_id", "lang", "n_chars", *features.rule_columns())
@@ -240,6 +315,7 @@ def deidentify(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.deidentify(counts, "user_id", SALT)
 
 
+# Calling a query builds its plan and may run jobs on the way: fits, streams and intermediate tables.
 QUERIES: dict[str, Query] = {
     "category_distribution": lambda s, d: dashboard.category_distribution(_docs(s, d)),
     "label_by_category": lambda s, d: dashboard.label_by_category(_docs(s, d), _labels(s, d)),
@@ -266,7 +342,6 @@ QUERIES: dict[str, Query] = {
         cleaning.classify(dirty_events(_events(s, d)))
     ),
     "log_filter": lambda s, d: dashboard.log_filter(_lines(_events(s, d))),
-    "file_inventory": lambda s, d: files.file_inventory(s, f"{d}/*.parquet"),
     "format_compare": lambda s, d: files.format_compare(_events(s, d)),
     "csv_roundtrip": csv_roundtrip,
     "replay_cap": lambda s, d: replay.replay_cap(
@@ -275,6 +350,9 @@ QUERIES: dict[str, Query] = {
     "stream_replay": stream_replay,
     "stream_label": stream_label,
     "stream_dead_letters": stream_dead_letters,
+    "stream_model_label": stream_model_label,
+    "dead_letters": dead_letters,
+    "reviews": reviews,
     "rule_features": lambda s, d: features.rule_features(_texts(s, d)),
     "feature_sample": lambda s, d: features.feature_sample(_docs(s, d), n=200),
     "feature_fusion": feature_fusion,
@@ -283,9 +361,13 @@ QUERIES: dict[str, Query] = {
     "rf_score": rf_score,
     "gbt_score": gbt_score,
     "ablation": ablation,
+    "rf_check": rf_check,
+    "gbt_check": gbt_check,
+    "ablation_check": ablation_check,
     "cell_ablation": cell_ablation,
     "group_shapley": group_shapley,
     "linear_shap": linear_shap,
     "system_status": system_status,
     "system_status_json": system_status_json,
+    "system_status_active": system_status_active,
 }

@@ -19,10 +19,13 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+FEW_SPLITS = 8
+
+
 def spread(scan: DataFrame, by: str) -> DataFrame:
-    """Give work that is heavy per row all cores when the files split into fewer parts than that.
+    """Deal out a table of few splits, for work that is heavy per row.
 
-    A scan with enough parts, as of any large table, is returned as it is: no shuffle.
+    Only a small table has fewer than ``FEW_SPLITS``; any other is read as it is, without a shuffle, on
+    a cluster of any size. For more tasks there, lower ``spark.sql.files.maxPartitionBytes``.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, by)
+    return scan if scan.rdd.getNumPartitions() >= FEW_SPLITS else scan.repartition(FEW_SPLITS, by)
