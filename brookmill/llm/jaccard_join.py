@@ -374,15 +374,17 @@ def class_links(classes: DataFrame, percent: int, partitions: int, slice_items:
     visits = containers.map(visit, from_arrow_schema(VISIT), [candidates])
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, number, indexes = None, None, {}
+        """A container comes first, then its visitors, row by row."""
+        held, indexes = None, {}
         for batch in batches:
             a, b = [], []
             for i in range(batch.num_rows):
-                if batch.column(0)[i].as_py() != number:
-                    number, indexes = batch.column(0)[i].as_py(), {}
-                    held = Groups.of(unpacked(batch.column(1)[i].as_py()))
+                body = unpacked(batch.column(1)[i].as_py())
+                if batch.column(0)[i].as_py() == 0:
+                    held, indexes = Groups.of(body), {}
                     ids, comp = held.table.column("class").to_numpy(), held.table.column("comp").to_numpy()
-                guests = unpacked(batch.column(2)[i].as_py())
+                    continue
+                guests = body
                 for guest, group, own in zip(guests.column("class").to_pylist(), guests.column("group").to_pylist(), sets_of(guests)):
                     start, stop = held.starts[group], held.starts[group + 1]
                     if group not in indexes:
@@ -396,8 +398,10 @@ def class_links(classes: DataFrame, percent: int, partitions: int, slice_items:
                         b.append(int(ids[first]))
             yield pa.RecordBatch.from_pydict({"a": a, "b": b}, schema=EDGES)
 
-    met = containers.table.select("chunk", "body").join(visits.select("chunk", "answer").hint("SHUFFLE_HASH"), "chunk")
-    across = met.mapInArrow(opened, from_arrow_schema(EDGES))
+    # Streamed in order, not joined: a join would repeat the container for each of its visitors.
+    met = containers.table.select("chunk", F.lit(0).alias("visitor"), "body").union(visits.select("chunk", F.lit(1), "answer"))
+    met = met.repartition(partitions, "chunk").sortWithinPartitions("chunk", "visitor")
+    across = met.select("visitor", "body").mapInArrow(opened, from_arrow_schema(EDGES))
     return containers.map(own_links, from_arrow_schema(EDGES)).union(across)
 
 
