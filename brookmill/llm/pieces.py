@@ -24,8 +24,8 @@ from sentencepiece import SentencePieceProcessor
 from brookmill.llm.common import Rows, hexdigest, map_batches
 
 SPACE = "▁"
-CACHED_UNITS = 250_000
-CACHED_PAIRS = 400_000
+CACHED_UNITS = 100_000
+CACHED_PAIRS = 150_000
 CACHED_CHARS = 64
 REPLACEMENT = "�"
 RUNS = re.compile(f"{SPACE}*[^\\W_]+|{SPACE}+|[^{SPACE}]")
@@ -64,8 +64,9 @@ class PieceCodec:
         self.joined = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         self.spaced = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self._compatible: dict[tuple[str, str], bool] = {}
-        self._young: dict[str, tuple[str, str]] = {}
-        self._old: dict[str, tuple[str, str]] = {}
+        self._young: dict[str, str] = {}
+        self._old: dict[str, str] = {}
+        self._odd: dict[str, str] = {}  # units that their ids do not spell
 
     def prefix(self, piece: str, pieces: set[str]) -> str:
         """The longest shorter piece that ``piece`` begins with, at least its first character."""
@@ -185,25 +186,31 @@ class PieceCodec:
         marked = SPACE + text.replace(" ", SPACE)
         return [marked] if self.spaced else re.findall(f"{SPACE}+[^{SPACE}]*", marked)
 
-    def known(self, unit: str) -> tuple[str, str]:
-        """Comma-joined ids of a unit and the text that these ids spell."""
+    def known(self, unit: str) -> str:
+        """Comma-joined ids of a unit. What they spell is compared with the unit, and noted if it differs."""
         found = self._young.get(unit)
         if found is None:
             found = self._old.get(unit)  # the units before the last ``CACHED_UNITS`` new ones
             if found is None:
                 parts = self.cut(unit)
                 if len(parts) > 1:
-                    both = [self.known(part) for part in parts]
-                    found = ",".join([b[0] for b in both]), "".join([b[1] for b in both])
+                    found = ",".join([self.known(part) for part in parts])
+                    if self._odd:
+                        self._note(unit, "".join([self._odd.get(part, part) for part in parts]))
                 else:
                     ids = self.part_ids(unit)
-                    found = ",".join(map(str, ids)), self.spelled(ids)
+                    found = ",".join(map(str, ids))
+                    self._note(unit, self.spelled(ids))
             if len(unit) <= CACHED_CHARS:
                 if len(self._young) >= CACHED_UNITS:
                     self._old, self._young = self._young, {}
                 self._young[unit] = found
         return found
 
+    def _note(self, unit: str, spelled: str) -> None:
+        if spelled.replace(" ", SPACE) != unit:
+            self._odd[unit] = spelled
+
     def encode(self, text: str) -> list[int]:
         return [i for unit in self.units(text) for i in self.unit_ids(unit)]
 
@@ -232,8 +239,10 @@ class PieceCodec:
 
         Byte pieces of one character lie in one unit, so that units may be spelled apart.
         """
-        found = [self.known(unit) for unit in self.units(text)]
-        return ",".join([f[0] for f in found]), "".join([f[1] for f in found]).removeprefix(" ")
+        units = self.units(text)
+        ids = ",".join([self.known(unit) for unit in units])
+        spelled = "".join([self._odd.get(unit, unit) for unit in units] if self._odd else units)
+        return ids, spelled.replace(SPACE, " ").removeprefix(" ")
 
 
 def decoded_bytes(run: bytes) -> str:
