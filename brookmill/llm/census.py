@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import StructType
 
+from brookmill.llm.common import give_back
 from brookmill.session import shared_path
 
 CHUNK_BYTES = 2 << 20
@@ -87,6 +88,8 @@ class Chunks:
                         got = batch.column(2 + i)[row].as_py() or []
                         replies.append(b"".join(g["answer"] for g in sorted(got, key=lambda g: g["slice"])))
                     yield from work(batch.column(0)[row].as_py(), unpacked(batch.column(1)[row].as_py()), replies)
+                    del replies
+                    give_back()
 
         return self.joined(answers).mapInArrow(run, schema)
 
@@ -111,13 +114,19 @@ def pack(rows: DataFrame, text: str, size: int = CHUNK_BYTES) -> Chunks:
                     {"chunk": [number], "bytes": [int(ends[stop - 1]) - before], "body": [body]}, schema=CHUNK
                 )
                 start = stop
+            del table
+            give_back()
 
     buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return stored(rows.mapInArrow(run, from_arrow_schema(CHUNK)), schema, buckets)
 
 
 def stored(packed_rows: DataFrame, schema: StructType, buckets: int) -> Chunks:
-    """Write rows of ``chunk, bytes, body`` as a bucketed table in the shared folder."""
+    """Write rows of ``chunk, bytes, body`` as a bucketed table in the shared folder.
+
+    Only the catalog knows the buckets, so the table is registered, looked up, and taken out of the catalog again;
+    its files stay, and the lookup keeps what it needs.
+    """
     spark = packed_rows.sparkSession
     name = f"chunks_{uuid.uuid4().hex}"
     (
@@ -126,6 +135,7 @@ def stored(packed_rows: DataFrame, schema: StructType, buckets: int) -> Chunks:
         .saveAsTable(name, format="parquet")
     )
     table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
     return Chunks(table, schema, table.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0])
 
 
@@ -172,6 +182,8 @@ def census(
         unit = np.dtype(_base(kind)).itemsize * (_width(kind) if kind.startswith("(") else 1)
         sizes = [len(b) // unit for b in group.column(first).to_pylist()]
         result = answer(arrays)
+        del arrays
+        give_back()
         ends = np.cumsum(sizes)
         return pa.table(
             {
@@ -181,7 +193,8 @@ def census(
             }
         )
 
-    asked = chunks.map(question, from_arrow_schema(sent), earlier)
+    # By number, so that slices are not merged into few tasks where they are small but costly to answer.
+    asked = chunks.map(question, from_arrow_schema(sent), earlier).repartition(slices, "slice")
     return asked.groupBy("slice").applyInArrow(reply, ANSWER)
 
 
@@ -201,12 +214,21 @@ def aligned(reply: bytes, kind: str, keys: np.ndarray, slices: int) -> np.ndarra
     return out
 
 
-def count_min(remainders: np.ndarray, counts: np.ndarray, depth: int = 3, load: int = 2) -> np.ndarray:
-    """Estimated totals by a count-min sketch: never below the true ones.
+def count_min(remainders: np.ndarray, counts: np.ndarray, depth: int = 3, load: int = 2, most: int = 1 << 17) -> np.ndarray:
+    """Estimated totals by count-min sketches: never below the true ones.
 
     Each chunk's counts are its sketch in sparse form; adding them up in ``depth`` rows of counters merges the
-    sketches. A row has at least ``load`` counters per entry.
+    sketches. A row has at least ``load`` counters per entry. Beyond ``most`` entries, the range is cut and each
+    part has a sketch of its own, to be small in memory.
     """
+    if len(remainders) > most:
+        parts = len(remainders) // most + 1
+        part = (remainders.astype(np.uint64) * np.uint64(parts)) >> np.uint64(32)
+        out = np.empty(len(remainders))
+        for i in range(parts):
+            own = np.flatnonzero(part == i)
+            out[own] = count_min(remainders[own], counts[own], depth, load, len(remainders))
+        return out
     width = 1 << max(4, int(load * len(remainders)).bit_length())
     shift = np.uint64(64 - width.bit_length() + 1)
     estimate = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from hashlib import sha256
 
@@ -20,6 +21,8 @@ SCHEMAS = {
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }
 
+SLICE_ROWS = 1_000
+
 Rows = Iterator[dict[str, list]]
 
 
@@ -32,6 +35,19 @@ def remainder(id: str, n: int) -> Column:
     return F.crc32(F.col(id).cast("string")) % n
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, and would keep its largest size."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # not this C library
+    _trim = None
+
+
 def hexdigest(data: bytes) -> str:
     return sha256(data).hexdigest()
 
@@ -42,10 +58,12 @@ def map_batches(df: DataFrame, work: Callable[[Rows], Rows], schema: str | Struc
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ({f: batch.column(i).to_pylist() for i, f in enumerate(batch.schema.names)} for batch in batches)
+        slices = (batch.slice(at, SLICE_ROWS) for batch in batches for at in range(0, batch.num_rows, SLICE_ROWS))
+        columns = ({f: batch.column(i).to_pylist() for i, f in enumerate(batch.schema.names)} for batch in slices)
         for out in work(columns):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f.name], f.type) for f in arrow], schema=arrow
             )
+        give_back()
 
     return df.mapInArrow(run, kind)

@@ -31,7 +31,7 @@ from brookmill.llm.words import BASE, VALUES, powers
 WINDOW = 50
 SLICE_ITEMS = 1 << 20
 BYTES_PER_ANCHOR = 13  # about: sets the number of slices, not the results
-SORTED_BYTES = 1 << 20
+SORTED_BYTES = 1 << 19
 CONTEXTS = 20_000
 STRIDE = 1 << 16
 NOTHING, WHOLE, COMPARE, COMPARE_WINDOWS = range(4)
@@ -265,6 +265,7 @@ def remove_repeats(
     slice_items: int = SLICE_ITEMS,
     contexts: int = CONTEXTS,
     sorted_bytes: int = SORTED_BYTES,
+    readable: bool = False,
 ) -> DataFrame:
     """``docs`` with all columns and, of each row: ``_n_bytes``, ``_n_removed``, ``_n_spans`` and ``_kept`` (binary).
 
@@ -272,6 +273,8 @@ def remove_repeats(
     one document each. A null text counts as empty; texts shorter than a window lose nothing. Rows with equal ids take
     nothing from each other; a null id is smaller than all others. ``window`` is 4 to 120.
 
+    With ``readable`` there is also ``_text``: the kept bytes as a string, without the rest of characters that were cut.
+
     An anchor with over ``contexts`` different blocks would make a large group: there each window is sent as a
     block of its own, keyed by its own hash, so that the group falls apart, with the same result.
     """
@@ -352,6 +355,9 @@ def remove_repeats(
     for name in ("_n_bytes", "_n_removed", "_n_spans"):
         added = added.add(name, "long")
     added = added.add("_kept", "binary")
+    if readable:
+        added = added.add("_text", "string")
+    names = added.names[len(docs.columns) :]
     out = to_arrow_schema(added)
 
     def cut(number: int, rows: pa.Table, replies: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -375,15 +381,17 @@ def remove_repeats(
             np.subtract.at(depth, places + window, 1)
         gone = np.cumsum(depth)[: len(found.data)] > 0
         raw = np.frombuffer(found.data, np.uint8)
-        columns: dict[str, list] = {"_n_bytes": [], "_n_removed": [], "_n_spans": [], "_kept": []}
+        columns: dict[str, list] = {name: [] for name in names}
         for a, b in zip(found.offsets[:-1], found.offsets[1:] - 1):
             cut_ = gone[a:b]
             columns["_n_bytes"].append(int(b - a))
             columns["_n_removed"].append(int(cut_.sum()))
             columns["_n_spans"].append(int(np.count_nonzero(cut_[1:] & ~cut_[:-1]) + (len(cut_) > 0 and cut_[0])))
             columns["_kept"].append(raw[a:b][~cut_].tobytes())
+            if readable:
+                columns["_text"].append(columns["_kept"][-1].decode("utf-8", "ignore"))
         arrays = [c.combine_chunks() for c in rows.columns]
-        arrays += [pa.array(columns[f.name], f.type) for f in list(out)[-4:]]
+        arrays += [pa.array(columns[name], out.field(name).type) for name in names]
         yield pa.RecordBatch.from_arrays(arrays, schema=out)
 
     return chunks.map(cut, added, [repeated, codes, bits])

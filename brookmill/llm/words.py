@@ -12,7 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 
-SHARD = 4 << 20
+SHARD = 2 << 20
 SLICE = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 VALUES = np.random.default_rng(1).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
