@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmill.llm import decontaminate, jaccard_join, pieces, suffix_dedup, toxicity
@@ -34,9 +33,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A cut may part a character; its remaining bytes go too. Documents of which nothing is left stay, as empty
     texts; a null text stays null.
     """
-    cut = suffix_dedup.remove_repeats(docs)
+    cut = suffix_dedup.remove_repeats(docs, readable=True)
     changed = F.col("_n_removed") > 0
-    text = F.when(changed, readable(F.col("_kept"))).otherwise(F.col("text"))
+    text = F.when(changed, F.col("_text")).otherwise(F.col("text"))
     out = cut.withColumn("text", text)
     if "n_chars" in docs.columns:
         n = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -44,16 +43,6 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(docs.columns)
 
 
-def readable(kept: Column) -> Column:
-    """UTF-8 bytes as text, without the bytes of characters that were cut."""
-
-    @F.pandas_udf("string")
-    def decoded(values: pd.Series) -> pd.Series:
-        return values.map(lambda b: b.decode("utf-8", "ignore"))
-
-    return decoded(kept)
-
-
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten-word window of a benchmark item."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
