@@ -196,11 +196,15 @@ def link_documents(
     slices = max(partitions, chunks.total // BYTES_PER_WORD // slice_items + 1)
 
     def read(rows: pa.Table):
-        """Sets, the first row of the chunk with an equal set, the distinct tokens, and which one each token is."""
+        """Sets, the first row of the chunk with an equal set, the distinct tokens, and which one each token is.
+
+        A row without words or with a null id links with nothing: it has no signature and is nobody's first.
+        """
         sets = token_sets(texts_of(rows, text), shingle)
         first: dict[bytes, int] = {}
-        sigs = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-        copy_of = [first.setdefault(s, i) if s else i for i, s in enumerate(sigs)]
+        able = [len(s) and doc is not None for s, doc in zip(sets, rows.column(id).to_pylist())]
+        sigs = [blake2b(s.tobytes(), digest_size=16).digest() if a else None for s, a in zip(sets, able)]
+        copy_of = [first.setdefault(s, i) if s else -1 for i, s in enumerate(sigs)]
         single = [s for i, s in enumerate(sets) if copy_of[i] == i]
         distinct, which = np.unique(np.concatenate([*single, np.zeros(0, np.uint64)]), return_inverse=True)
         return sets, sigs, copy_of, distinct, which
@@ -220,13 +224,12 @@ def link_documents(
         ends = np.cumsum([len(s) if copy_of[i] == i else 0 for i, s in enumerate(sets)])
         out: dict[str, list] = {c: [] for c in ROWS.names}
         for i, (own, doc) in enumerate(zip(sets, rows.column(id).to_pylist())):
-            sent = copy_of[i] == i and len(own) and doc is not None
-            sent = sent and np.count_nonzero(again[ends[i] - len(own) : ends[i]]) >= needed(len(own), percent)
+            sent = copy_of[i] == i and np.count_nonzero(again[ends[i] - len(own) : ends[i]]) >= needed(len(own), percent)
             out["chunk"].append(number)
             out["row"].append(i)
             out["id"].append(doc)
             out["n"].append(len(own))
-            out["sig"].append(sigs[i] if doc is not None else None)
+            out["sig"].append(sigs[i])
             out["tokens"].append(own.tobytes() if sent else None)
             out["keys"].append(min_hashes(own) if sent else None)
         yield pa.RecordBatch.from_pydict(out, schema=ROWS)
