@@ -167,7 +167,7 @@ def match_shard(texts: list[bytes], test: TestSet) -> list[tuple[int, list[tuple
         own = text == t
         begin = places[own] - starts[t]
         spans = merged([*zip(begin.tolist(), (begin + window[own]).tolist())])
-        out[t] = out[t][0], spans, [test.names[i] for i in np.unique(item[own])], int(length[own].max())
+        out[t] = out[t][0], spans, sorted({test.names[i] for i in np.unique(item[own]).tolist()}), int(length[own].max())
     return out
 
 
