@@ -19,6 +19,7 @@ SCHEMAS = {
     "labels": LABELS,
     "benchmark": "item_id BIGINT, text STRING",
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
 }
 
 SLICE_ROWS = 1_000

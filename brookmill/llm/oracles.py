@@ -131,10 +131,53 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length('### ' || head || ': ' || body || '</turn>') + 1) AS BIGINT) AS formatted_chars
 FROM written GROUP BY conv_id"""
 
+def _centroid_rounds(k: int, length: int, rounds: int, salt: str) -> str:
+    """Assignment and floor of means, written out round by round."""
+    square = "list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    nearest = f"""SELECT vec_id, x, best %% {k} AS k, best // {k} AS d
+  FROM (SELECT vec_id, x, min({square} * {k} + k) AS best FROM vectors, centroids_%d GROUP BY vec_id, x)"""
+    steps = [
+        f"""
+vectors AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = {length}
+    AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {length}
+),
+centroids_0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{salt}:' || vec_id)) - 1 AS k, x AS c
+  FROM vectors QUALIFY k < {k}
+)"""
+    ]
+    for i in range(rounds):
+        steps.append(
+            f"""
+assigned_{i} AS MATERIALIZED ({nearest % i}),
+means_{i} AS (
+  SELECT k, place, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS m
+  FROM (SELECT k, place, sum(v) AS s, count(*) AS n
+        FROM (SELECT k, unnest(x) AS v, unnest(range(1, {length} + 1)) AS place FROM assigned_{i})
+        GROUP BY k, place)
+),
+centroids_{i + 1} AS MATERIALIZED (
+  SELECT k, coalesce(m, c) AS c
+  FROM centroids_{i} LEFT JOIN (SELECT k, list(m ORDER BY place) AS m FROM means_{i} GROUP BY k) USING (k)
+)"""
+        )
+    return f"""
+WITH {",".join(steps)},
+found AS MATERIALIZED ({nearest % rounds})
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM found JOIN centroids_{rounds} USING (k)"""
+
+
 ORACLES: dict[str, str] = {
     "op2_decontaminate": DECONTAMINATE,
     "op4_suffix_dedup": SUFFIX_DEDUP,
     "op6_jaccard_join": JACCARD_JOIN,
     "op7_substring_dedup": SUBSTRING_DEDUP,
     "op8_chat": CHAT,
+    "op12_centroids": _centroid_rounds(40, 64, 5, "2"),
 }

@@ -9,12 +9,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookmill.llm import chat, decontaminate, jaccard_join, language, quality, simhash, substring_dedup, suffix_dedup, toxicity
+from brookmill.llm import byte_tokens, centroids, chat, decontaminate, jaccard_join, language, quality, simhash, substring_dedup, suffix_dedup, toxicity, whitening
 from brookmill.llm.common import remainder, table
 from brookmill.llm.pieces import encoding_digests
 from brookmill.session import materialise
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def held_out(modulus: int, fold: int) -> Column:
@@ -77,6 +78,19 @@ def op9_pieces(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -
     return encoding_digests(table(spark, folder, "documents"), Path(vocabulary).read_bytes())
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, folder, "embeddings"))
+
+
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_digests(table(spark, folder, "embeddings"), k=40, length=64, rounds=5, salt="2")
+
+
+def op13_byte_tokens(spark: SparkSession, folder: str, ranks: str = RANKS) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return byte_tokens.encoding_digests(docs, Path(ranks).read_bytes(), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_mixture": op1_language_mixture,
     "op2_decontaminate": op2_decontaminate,
@@ -88,4 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_pieces": op9_pieces,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_centroids": op12_centroids,
+    "op13_byte_tokens": op13_byte_tokens,
 }
