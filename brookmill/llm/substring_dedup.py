@@ -82,7 +82,7 @@ def remove_repeats(
         found, repeats, smallest, _ = suspects(rows, replies)
         first = np.zeros(len(found.distinct), np.int64)
         first[found.which] = found.begin
-        second = window_hashes(found.words.hashes ^ np.uint64(0x5851F42D4C957F2D), window)
+        second = window_hashes(found.words.hashed(1), window)
         second = second[first[repeats]] if len(repeats) else np.zeros(0, np.uint64)
         return {"key": found.distinct[repeats], "second": second, "id": smallest[repeats]}
 

@@ -1,7 +1,9 @@
 """Words of many texts at once, as arrays: their places and 64-bit hashes.
 
-A word is a run of bytes of a class. Its hash is a polynomial over random byte values modulo 2**64, read
-off prefix sums. Equal words have equal hashes; different ones collide with a chance of about 2**-64.
+A word is a run of bytes of a class. Its hash adds up its lanes of eight bytes, each mixed nonlinearly together with its number, so
+that no exchange of bytes or lanes cancels out as it does in a polynomial modulo 2**64. Equal words have equal
+hashes; for different ones that were not made to collide, chance is the only reason to, about 2**-64. Hashes of two
+seeds are independent of each other.
 """
 
 from __future__ import annotations
@@ -47,6 +49,45 @@ class Words:
     first: np.ndarray
     data: bytes
     offsets: np.ndarray
+    folded: np.ndarray  # the bytes that are hashed
+
+    def hashed(self, seed: int) -> np.ndarray:
+        """Hashes of another seed, from the bytes."""
+        return word_hashes(self.folded, self.starts, self.ends, seed)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A fixed random-like permutation of the 64-bit numbers, in place."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the words ``raw[start:end]``, none of them empty."""
+    hashes = np.empty(len(starts), np.uint64)
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    at_any = np.ndarray(len(padded) - 7, "<u8", padded.data, strides=(1,))  # eight bytes from every place on
+    key = np.uint64((seed * 0x632BE59BD9B4E019 + 0x5851F42D4C957F2D) % (1 << 64))
+    done = 0
+    while done < len(starts):  # in slices that end between words, so that the arrays stay short
+        upto = max(done + 1, int(np.searchsorted(ends, starts[done] + SLICE, "right")))
+        begin, length = starts[done:upto], ends[done:upto] - starts[done:upto]
+        lanes = (length + 7) >> 3
+        first = np.cumsum(lanes) - lanes
+        number = np.arange(int(lanes.sum())) - np.repeat(first, lanes)
+        lane = at_any[np.repeat(begin, lanes) + 8 * number].astype(np.uint64)
+        last, rest = first + lanes - 1, ((8 - (length & 7)) & 7).astype(np.uint64) * np.uint64(8)
+        lane[last] &= np.uint64(0xFFFFFFFFFFFFFFFF) >> rest  # nothing of the next word
+        lane = mixed(lane + key + number.astype(np.uint64) * np.uint64(BASE))
+        lane ^= key >> np.uint64(7)
+        total = np.add.reduceat(mixed(lane), first)
+        hashes[done:upto] = mixed(total + length.astype(np.uint64) * np.uint64(BASE))
+        done = upto
+    return hashes
 
 
 def shards(texts: Sequence[str | None], size: int = SHARD) -> Iterator[tuple[int, list[bytes]]]:
@@ -74,22 +115,8 @@ def split_words(texts: list[bytes], inside: np.ndarray, fold: np.ndarray | None
     member[1:-1] = inside[raw]
     edges = np.flatnonzero(member[1:] != member[:-1])
     starts, ends = edges[::2], edges[1::2]
-    hashes = np.empty(len(starts), np.uint64)
-    done = 0
-    while done < len(starts):  # in slices that end between words, so that the sums stay short
-        base = starts[done]
-        upto = max(done + 1, int(np.searchsorted(ends, base + SLICE, "right")))
-        piece = raw[base : ends[upto - 1]]
-        up, down = powers(max(SLICE, 1 << int(len(piece)).bit_length()) if len(piece) > SLICE else SLICE)
-        sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(VALUES[piece] * up[: len(piece)], out=sums[1:])
-        a, b = starts[done:upto] - base, ends[done:upto] - base
-        hashes[done:upto] = (sums[b] - sums[a]) * down[a]
-        done = upto
-    hashes ^= hashes >> np.uint64(29)
-    hashes *= np.uint64(0xBF58476D1CE4E5B9)
-    hashes ^= hashes >> np.uint64(32)
-    return Words(starts, ends, hashes, np.searchsorted(starts, offsets), data, offsets)
+    hashes = word_hashes(raw, starts, ends)
+    return Words(starts, ends, hashes, np.searchsorted(starts, offsets), data, offsets, raw)
 
 
 def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
