@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmill.operators.features import class_weights
+from brookmill.operators.ranking import rank_auc
 from brookmill.operators.skew import lookup
 from brookmill.session import materialise
 
@@ -85,7 +87,7 @@ def ablation(
 
     The empty subset has no information: 0.5. The number of fits doubles with each group, so groups are
     limited to ``max_groups``; the fits run side by side and read ``df``, which should be materialised and
-    narrow. The metric is exact: every distinct score is a point of the curve.
+    narrow. The metric is exact, by ranks over all distinct scores of all subsets at once. Names of groups hold no ``+``.
     """
     if len(groups) > max_groups:
         raise ValueError(f"{len(groups)} groups need {2 ** len(groups)} fits; merge some")
@@ -94,15 +96,15 @@ def ablation(
     if balanced:
         train = balance(train, label, id)
         estimator = estimator.copy().setWeightCol("weight")
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     subsets = [s for n in range(1, len(groups) + 1) for s in combinations(sorted(groups), n)]
 
-    def measure(subset: tuple[str, ...]) -> tuple[list[str], float]:
+    def scored(subset: tuple[str, ...]) -> DataFrame:
         columns = [column for group in subset for column in groups[group]]
-        scored = fit(train, columns, estimator).transform(test)
-        return list(subset), evaluator.evaluate(scored)
+        margin = vector_to_array("rawPrediction")[1].alias("score")
+        return fit(train, columns, estimator).transform(test).select(F.lit("+".join(subset)).alias("subset"), margin, label)
 
     spark = df.sparkSession
     with ThreadPool(parallelism) as pool:
-        measured = pool.map(inheritable_thread_target(spark)(measure), subsets)
-    return spark.createDataFrame([([], 0.5), *measured], "subset ARRAY<STRING>, metric DOUBLE")
+        scores = reduce(DataFrame.unionAll, pool.map(inheritable_thread_target(spark)(scored), subsets))
+    measured = rank_auc(scores, "score", label, ["subset"]).select(F.split("subset", r"\+").alias("subset"), F.col("auc").alias("metric"))
+    return spark.createDataFrame([([], 0.5)], "subset ARRAY<STRING>, metric DOUBLE").unionAll(measured)

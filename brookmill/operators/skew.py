@@ -95,6 +95,32 @@ def number_rows(
     ).select(*df.columns, number.cast("bigint").alias(name))
 
 
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: Sequence[str], suffix: str = "_upto") -> DataFrame:
+    """Add, for each column of ``sums``, its sum over the rows of the key up to and with each row.
+
+    ``order`` must be unique within a key. As in ``number_rows``, a large key lies in many ranges; each range is
+    summed alone, and a key that continues from earlier ranges adds what they hold. At most one key per range does, so what is
+    carried is broadcast.
+    """
+    keys = list(keys)
+    ranged = materialise(
+        df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges"
+    )
+    before = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    earlier = [F.sum(f"_s_{c}").over(before).alias(f"_before_{c}") for c in sums]
+    carried = (
+        ranged.groupBy(*keys, "_range")
+        .agg(*[F.sum(c).alias(f"_s_{c}") for c in sums])
+        .select(*keys, "_range", F.lag("_range").over(W.partitionBy(*keys).orderBy("_range")).alias("_earlier"), *earlier)
+        .where("_earlier IS NOT NULL")
+        .drop("_earlier")
+    )
+    local = W.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    summed = ranged.withColumns({f"_local_{c}": F.sum(c).over(local) for c in sums})
+    upto = [(F.col(f"_local_{c}") + F.coalesce(f"_before_{c}", F.lit(0))).alias(f"{c}{suffix}") for c in sums]
+    return _match(summed, carried, [*keys, "_range"], "left", small=True).select(*df.columns, *upto)
+
+
 def exact_percentiles(
     df: DataFrame, by: str, value: str, shares: dict[str, float]
 ) -> DataFrame:

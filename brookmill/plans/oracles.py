@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from brookmill.operators.dashboard import KEY_NAMES
 
+TREE_DEPTH = 3
+
 DIRTY = """
 dirty AS (
   SELECT CASE WHEN event_id % 83 = 0 THEN 'x' ELSE '' END || CAST(event_id AS VARCHAR) AS event_id,
@@ -147,6 +149,99 @@ def _phi(own: str, first: str, second: str) -> str:
     )
 
 
+FEATURES = ("n_chars", "n_words", "n_digits", "email", "phone", "licence", "symbols", "score")
+
+INPUTS = (
+    RULES
+    + ","
+    + NUMBERS
+    + """,
+inputs AS MATERIALIZED (SELECT * FROM numbers JOIN rules USING (doc_id)),
+placed_0 AS (SELECT inputs.*, quality, 1 AS node FROM inputs JOIN labels USING (doc_id) WHERE quality IN (0, 1))"""
+)
+
+
+def _value(feature: str) -> str:
+    """The value of the feature that a column names."""
+    return f"CASE {feature} {' '.join(f"WHEN '{f}' THEN CAST({f} AS DOUBLE)" for f in FEATURES)} END"
+
+
+def _split_level(i: int) -> str:
+    """Every split of every node of one level, the best by feature, the best of all, and the rows of the next level."""
+    names, values = (", ".join(x) for x in ([f"'{f}'" for f in FEATURES], [f"CAST({f} AS DOUBLE)" for f in FEATURES]))
+
+    def gini(n: str, p: str) -> str:
+        return f"CAST(2 * ({p}) * (({n}) - ({p})) AS DOUBLE) / ({n})"
+
+    return f"""
+counts_{i} AS (
+  SELECT node, feature, value, CAST(count(*) AS BIGINT) AS n, CAST(sum(quality) AS BIGINT) AS p
+  FROM (SELECT node, quality, unnest([{names}]) AS feature, unnest([{values}]) AS value FROM placed_{i})
+  GROUP BY ALL
+),
+sums_{i} AS (
+  SELECT node, feature, value, CAST(sum(n) OVER upto AS BIGINT) AS nl, CAST(sum(p) OVER upto AS BIGINT) AS pl,
+         CAST(sum(n) OVER own AS BIGINT) AS n, CAST(sum(p) OVER own AS BIGINT) AS p
+  FROM counts_{i} WINDOW upto AS (PARTITION BY node, feature ORDER BY value), own AS (PARTITION BY node, feature)
+),
+splits_{i} AS (
+  SELECT node, feature, value AS threshold, n, p, nl, pl,
+         round(({gini('n', 'p')} - {gini('nl', 'pl')} - {gini('n - nl', 'p - pl')}) / n, 9) AS gain
+  FROM sums_{i} WHERE nl < n
+  QUALIFY row_number() OVER (PARTITION BY node, feature ORDER BY gain DESC, value) = 1
+),
+chosen_{i} AS MATERIALIZED (
+  SELECT * FROM splits_{i} WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature) = 1
+),
+placed_{i + 1} AS MATERIALIZED (
+  SELECT placed_{i}.* EXCLUDE (node),
+         2 * node + CASE WHEN {_value('feature')} <= threshold THEN 0 ELSE 1 END AS node
+  FROM placed_{i} JOIN (SELECT node, feature, threshold FROM chosen_{i}) USING (node)
+)"""
+
+
+TREE = (
+    INPUTS
+    + ","
+    + ",".join(_split_level(i) for i in range(TREE_DEPTH))
+    + f""",
+inner_nodes AS (
+  {" UNION ALL ".join(f"SELECT * FROM chosen_{i}" for i in range(TREE_DEPTH))}
+),
+nodes AS (
+  SELECT 1 AS node, count(*) AS n, CAST(sum(quality) AS BIGINT) AS p FROM placed_0 HAVING count(*) > 0
+  UNION ALL SELECT 2 * node, nl, pl FROM inner_nodes
+  UNION ALL SELECT 2 * node + 1, n - nl, p - pl FROM inner_nodes
+)"""
+)
+
+# Shapley values from the definition: what each set of known features is worth, over all sets of the tree's features.
+TREE_GAME = (
+    TREE
+    + f""",
+steps AS (
+  SELECT leaf.node AS leaf, leaf.p * 1.0e0 / leaf.n AS worth, c.feature, c.threshold,
+         ((leaf.node >> (k - 1)) & 1) = 0 AS goes_left, child.n * 1.0e0 / c.n AS share
+  FROM (SELECT * FROM nodes WHERE node NOT IN (SELECT node FROM inner_nodes)) leaf,
+       (SELECT unnest(range(1, {TREE_DEPTH + 1})) AS k)
+  JOIN inner_nodes c ON c.node = leaf.node >> k
+  JOIN nodes child ON child.node = leaf.node >> (k - 1)
+),
+players AS (
+  SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS bit, count(*) OVER () AS m
+  FROM (SELECT DISTINCT feature FROM inner_nodes)
+),
+sets AS (SELECT unnest(range(0, 1 << (SELECT coalesce(max(m), 0) FROM players))) AS s),
+parts AS (
+  SELECT doc_id, leaf, s, any_value(worth)
+         * product(CASE WHEN (s >> bit) & 1 = 0 THEN share
+                        WHEN ({_value('feature')} <= threshold) = goes_left THEN 1.0e0 ELSE 0.0e0 END) AS v
+  FROM inputs, steps JOIN players USING (feature), sets GROUP BY doc_id, leaf, s
+),
+worths AS MATERIALIZED (SELECT doc_id, s, sum(v) AS v FROM parts GROUP BY doc_id, s)"""
+)
+
 ORACLES: dict[str, str] = {
     "category_distribution": """
 SELECT lang, count(*) AS n, round(count(*) / (SELECT count(*) FROM documents), 6) AS share
@@ -334,6 +429,41 @@ means AS (SELECT avg(n_chars) AS c, avg(n_words) AS w, avg(n_digits) AS d FROM n
 SELECT doc_id, 'n_chars' AS feature, round(0.001e0 * (n_chars - c), 6) AS phi FROM numbers, means
 UNION ALL SELECT doc_id, 'n_words', round(-0.25e0 * (n_words - w), 6) FROM numbers, means
 UNION ALL SELECT doc_id, 'n_digits', round(0.5e0 * (n_digits - d), 6) FROM numbers, means""",
+    "best_split": f"""
+WITH {INPUTS}, {_split_level(0)}
+SELECT s.feature, s.threshold, s.gain, s.n, s.p AS positive, s.nl AS n_left, s.pl AS positive_left,
+       row_number() OVER (ORDER BY s.gain DESC, s.feature) = 1 AS best
+FROM splits_0 s""",
+    "split_tree": f"""
+WITH {TREE}
+SELECT CAST(nodes.node AS INTEGER) AS node, feature, threshold, gain, nodes.n, nodes.p AS positive
+FROM nodes LEFT JOIN inner_nodes USING (node)""",
+    "tree_shap": f"""
+WITH {TREE_GAME}
+SELECT a.doc_id, feature,
+       round(sum((b.v - a.v) * factorial(CAST(bit_count(a.s) AS INTEGER))
+                 * factorial(CAST(m - bit_count(a.s) - 1 AS INTEGER)) / factorial(CAST(m AS INTEGER))), 6) AS phi
+FROM worths a JOIN players ON (a.s >> bit) & 1 = 0
+JOIN worths b ON b.doc_id = a.doc_id AND b.s = a.s + (1 << bit)
+GROUP BY a.doc_id, feature""",
+    "boosted_shap_check": "SELECT doc_id, true AS adds_up FROM documents",
+    "rank_auc": f"""
+WITH {NUMBERS},
+scored AS (
+  SELECT lang, quality, numbers.n_chars * 0.001e0 + n_words * (-0.25e0) + n_digits * 0.5e0 AS score
+  FROM numbers JOIN documents USING (doc_id) JOIN labels USING (doc_id) WHERE quality IN (0, 1)
+),
+grouped AS (SELECT lang AS grp, quality, score FROM scored UNION ALL SELECT '(all)', quality, score FROM scored),
+ranked AS (
+  SELECT grp, quality,
+         rank() OVER (PARTITION BY grp ORDER BY score) + (count(*) OVER (PARTITION BY grp, score) - 1) / 2.0e0 AS r
+  FROM grouped
+)
+SELECT grp, count(*) FILTER (quality = 1) AS n_positive, count(*) FILTER (quality = 0) AS n_negative,
+       CASE WHEN n_positive * n_negative > 0
+            THEN round((sum(r) FILTER (quality = 1) - n_positive * (n_positive + 1) / 2.0e0) / (n_positive * n_negative), 9)
+       END AS auc
+FROM ranked GROUP BY grp""",
     "system_status": """
 SELECT 'degraded' AS status, false AS llm_active, 'API_KEY_MISSING' AS reason,
        count(*) > 0 AS data_files_available, count(*) AS record_count

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Bucketizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmill.functions.numbers import rounded
 from brookmill.functions.text import as_json, char_grams, join_list
-from brookmill.operators import attribution, cleaning, dashboard, faults, features, models, profile
+from brookmill.operators import attribution, cleaning, dashboard, faults, features, models, profile, splits, tree_shap as shap
 from brookmill.operators import sessions as sessions_
+from brookmill.operators.ranking import rank_auc as ranked_auc
 from brookmill.session import materialise, shared_path
 from brookmill.sources import csv_files, files
 from brookmill.sources.models import load_model, save_model
@@ -37,6 +39,7 @@ STREAM_ROWS = 10_000
 STREAM_FILES = 2
 TFIDF_FEATURES = 4_096
 REPLAY_CAP = 6_000
+TREE_DEPTH = 3
 
 
 def dirty_events(events: DataFrame) -> DataFrame:
@@ -282,6 +285,57 @@ def ablation_check(spark: SparkSession, folder: str) -> DataFrame:
     return ablation(spark, folder).select("subset", ((metric >= 0) & (metric <= 1) & ((F.col("subset") != "") | (metric == 0.5))).alias("valid"))
 
 
+def best_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The best split of all labelled documents by each feature."""
+    rows = _model_input(spark, folder).where("quality IN (0, 1)").withColumn("node", F.lit(1))
+    return splits.best_splits(rows, FUSED, "quality").drop("node")
+
+
+def split_tree(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _model_input(spark, folder)
+    return splits.tree_rows(rows, splits.grow(rows, FUSED, "quality", TREE_DEPTH))
+
+
+def tree_shap(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact Shapley values of the tree of ``split_tree`` for every document."""
+    rows = _model_input(spark, folder)
+    leaves = shap.grown_leaves(splits.grow(rows, FUSED, "quality", TREE_DEPTH))
+    return shap.tree_shap(rows, [(1.0, leaves)]).withColumn("phi", rounded(F.col("phi")))
+
+
+def _boosted(spark: SparkSession, folder: str) -> tuple[DataFrame, PipelineModel]:
+    rows = _model_input(spark, folder)
+    return rows, models.fit(rows.where("quality IS NOT NULL"), FUSED, models.boosted_trees("quality"))
+
+
+def boosted_shap(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact Shapley values of boosted trees for every document."""
+    rows, model = _boosted(spark, folder)
+    return shap.tree_shap(rows, shap.ensemble_trees(model))
+
+
+def boosted_shap_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: do its values and the mean margin add up to the margin that Spark gives it?
+
+    The values are added where they are worked out, without a shuffle. A constant model would have nothing to explain, and fails.
+    """
+    rows, model = _boosted(spark, folder)
+    trees = shap.ensemble_trees(model)
+    values = shap.shapley_columns(trees, {f: F.col(f) for f in FUSED})
+    total = F.aggregate(F.array(*values.values()), F.lit(shap.base_value(trees)), lambda a, b: a + b)
+    margin = vector_to_array("rawPrediction")[1]
+    return model.transform(rows).select("doc_id", (F.abs(total - margin) < 1e-9).alias("adds_up"))
+
+
+def rank_auc(spark: SparkSession, folder: str) -> DataFrame:
+    """How well a fixed linear score ranks the labelled documents: by language, and all."""
+    score = sum((F.col(c) * F.lit(w) for c, w in list(COEFFICIENTS.items())[1:]), F.col("n_chars") * F.lit(COEFFICIENTS["n_chars"]))
+    numbers = _texts(spark, folder).select("doc_id", "lang", *features.number_columns())
+    rows = numbers.select("doc_id", "lang", score.alias("score")).join(_labels(spark, folder), "doc_id")
+    each = rows.select(F.explode(F.array(F.col("lang"), F.lit("(all)"))).alias("grp"), "score", "quality")
+    return ranked_auc(each, "score", "quality", ["grp"]).withColumn("auc", rounded(F.col("auc"), 9))
+
+
 def _cells(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents by language, length class and rule hit."""
     docs = _texts(spark, folder).select("doc_id", "lang", "n_chars", *features.rule_columns())
@@ -364,6 +418,12 @@ QUERIES: dict[str, Query] = {
     "rf_check": rf_check,
     "gbt_check": gbt_check,
     "ablation_check": ablation_check,
+    "best_split": best_split,
+    "split_tree": split_tree,
+    "tree_shap": tree_shap,
+    "boosted_shap": boosted_shap,
+    "boosted_shap_check": boosted_shap_check,
+    "rank_auc": rank_auc,
     "cell_ablation": cell_ablation,
     "group_shapley": group_shapley,
     "linear_shap": linear_shap,
