@@ -56,3 +56,17 @@ def elapsed(end: Column, start: Column, data_type: DataType) -> Column:
     if isinstance(data_type, TimestampNTZType):
         return end - start
     return F.expr("INTERVAL '0.000001' SECOND") * (F.unix_micros(end) - F.unix_micros(start))
+
+
+EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def instant(ts: Column) -> Column:
+    """A time without a zone as the instant at which clocks in UTC show it, whatever the session's zone."""
+    since = (ts - F.expr(EPOCH)).cast("interval second")
+    return F.timestamp_micros((since.cast("decimal(18,6)") * F.lit(1_000_000)).cast("bigint"))
+
+
+def wall_clock(at: Column) -> Column:
+    """The inverse of ``instant``."""
+    return F.expr(EPOCH) + F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(at)

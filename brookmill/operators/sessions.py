@@ -13,9 +13,10 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from brookmill.functions.numbers import elapsed, slot_seconds
-from brookmill.operators.skew import BROADCAST_BYTES, lookup
+from brookmill.operators.skew import BROADCAST_BYTES, lookup, number_rows
 from brookmill.session import materialise
 
 SIX_HOURS = 6 * 3600
@@ -78,7 +79,7 @@ def session_summary(
         F.count("*").alias("_n"),
         F.count_if(F.col(event_type) == "purchase").alias("_purchases"),
     )
-    length = elapsed(F.col("end"), F.col("start"), events.schema[ts].dataType)
+    kind = events.schema[ts].dataType
     return (
         slots.groupBy(user, "session_no")
         .agg(
@@ -87,5 +88,16 @@ def session_summary(
             F.sum("_n").alias("n"),
             F.sum("_purchases").alias("purchases"),
         )
-        .withColumn("seconds", length.cast("interval second").cast("decimal(18,6)").cast("double"))
+        .withColumn("seconds", _seconds(kind))
     )
+
+
+def _seconds(kind: DataType) -> Column:
+    """The length of a session ``start`` to ``end``."""
+    return elapsed(F.col("end"), F.col("start"), kind).cast("interval second").cast("decimal(18,6)").cast("double")
+
+
+def numbered_sessions(closed: DataFrame, user: str = "user_id") -> DataFrame:
+    """Sessions as a stream gives them, in the form of ``session_summary``: numbered by user, with their length."""
+    numbered = number_rows(closed, [user], ["start"], "session_no")
+    return numbered.withColumn("seconds", _seconds(closed.schema["start"].dataType))

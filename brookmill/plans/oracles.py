@@ -36,6 +36,12 @@ clean AS (
 )"""
 )
 
+# A record as JSON text; only a missing user can be null.
+PAYLOAD = """'{"event_id":' || to_json(event_id) || ',"ts":' || to_json(ts)
+       || CASE WHEN user_id IS NULL THEN '' ELSE ',"user_id":' || to_json(user_id) END
+       || ',"event_type":' || to_json(event_type) || ',"value":' || to_json(value)
+       || ',"props":' || to_json(props) || '}'"""
+
 MARKED = (
     "WITH "
     + DIRTY
@@ -68,6 +74,13 @@ sessions AS (
   FROM paused
 )"""
 
+SESSION_SUMMARY = f"""
+WITH {SESSIONS}
+SELECT user_id, session_no, min(ts) AS start, max(ts) AS "end", count(*) AS n,
+       count(*) FILTER (event_type = 'purchase') AS purchases,
+       (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000 AS seconds
+FROM sessions GROUP BY user_id, session_no"""
+
 ATTEMPTS = """
 attempts AS (
   SELECT user_id, CAST(ts AS DATE) AS dt, ts, event_id, event_type <> 'error' AS ok,
@@ -303,12 +316,7 @@ WITH {SESSIONS}
 SELECT * FROM sessions
 UNION ALL SELECT event_id, ts, user_id, event_type, value, props, NULL
 FROM events WHERE user_id IS NULL OR ts IS NULL""",
-    "session_summary": f"""
-WITH {SESSIONS}
-SELECT user_id, session_no, min(ts) AS start, max(ts) AS "end", count(*) AS n,
-       count(*) FILTER (event_type = 'purchase') AS purchases,
-       (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000 AS seconds
-FROM sessions GROUP BY user_id, session_no""",
+    "session_summary": SESSION_SUMMARY,
     "retry_numbers": f"""
 WITH {ATTEMPTS}
 SELECT user_id, dt, ts, event_id, ok, attempt,
@@ -374,11 +382,41 @@ dead AS (
   FROM failures WHERE n >= 3
 )
 SELECT reason, CAST(attempt AS BIGINT) AS attempt,
-       '{{"event_id":' || to_json(event_id) || ',"ts":' || to_json(ts)
-       || CASE WHEN user_id IS NULL THEN '' ELSE ',"user_id":' || to_json(user_id) END
-       || ',"event_type":' || to_json(event_type) || ',"value":' || to_json(value)
-       || ',"props":' || to_json(props) || '}}' AS payload
+       {PAYLOAD} AS payload
 FROM dead""",
+    "stream_retry": f"""
+{MARKED},
+needed AS (
+  SELECT *, CASE WHEN trim(event_type) = 'error' THEN CAST(TRY_CAST(event_id AS BIGINT) % 5 + 1 AS INTEGER) ELSE 1 END AS needs
+  FROM marked
+),
+ended AS (
+  SELECT *, CASE WHEN reason <> '' THEN reason WHEN needs > 3 THEN 'out_of_retries' ELSE '' END AS why FROM needed
+)
+SELECT event_id, CASE WHEN why = '' THEN 'ok' ELSE 'dead' END AS status, why AS reason,
+       CAST(CASE WHEN reason <> '' THEN 1 ELSE least(needs, 3) END AS INTEGER) AS attempt,
+       CASE WHEN why <> '' THEN {PAYLOAD} END AS payload
+FROM ended""",
+    "live_feed": """
+WITH reviews AS (SELECT lang, quality FROM documents LEFT JOIN labels USING (doc_id))
+SELECT 'category' AS chart, lang AS key, CAST(NULL AS INTEGER) AS label, count(*) AS n,
+       round(count(*) / (SELECT count(*) FROM reviews), 6) AS share
+FROM reviews GROUP BY lang
+UNION ALL
+SELECT 'label', lang, quality, count(*), NULL FROM reviews WHERE quality IS NOT NULL GROUP BY lang, quality""",
+    "live_activity": """
+WITH newest AS (SELECT max(ts) AS ts FROM events WHERE event_id % 41 <> 0),
+timed AS (
+  SELECT CAST(events.ts AS DATE) AS dt, event_type,
+         event_id % 41 = 0 AND CAST(events.ts AS DATE) + INTERVAL 1 DAY <= newest.ts - INTERVAL 2 DAY AS late
+  FROM events, newest
+)
+SELECT dt, event_type, count(*) FILTER (NOT late) AS n, count(*) FILTER (late) AS late FROM timed GROUP BY ALL""",
+    "stream_sessions": SESSION_SUMMARY,
+    "stream_sessions_late": """
+SELECT user_id, count(*) AS events,
+       count(*) FILTER (event_id % 41 = 0 AND ts < (SELECT max(ts) FROM events) - INTERVAL 5 DAY) AS late
+FROM events WHERE user_id IS NOT NULL GROUP BY user_id""",
     "stream_model_label": "SELECT event_id, CAST(value >= 250 AS INTEGER) AS prediction FROM events",
     "reviews": """
 SELECT lang AS category, quality AS label, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars

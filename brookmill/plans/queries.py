@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Bucketizer
@@ -19,7 +20,8 @@ from brookmill.session import materialise, shared_path
 from brookmill.sources import csv_files, files
 from brookmill.sources.models import load_model, save_model
 from brookmill.sources.tables import EVENTS, load, spread
-from brookmill.streaming import replay, scoring
+from brookmill.streaming import feed, replay, retry, scoring
+from brookmill.streaming import sessions as stream_sessions_
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +42,8 @@ STREAM_FILES = 2
 TFIDF_FEATURES = 4_096
 REPLAY_CAP = 6_000
 TREE_DEPTH = 3
+MAX_ATTEMPTS = 3
+FEED_LATENESS = "2 days"
 
 
 def dirty_events(events: DataFrame) -> DataFrame:
@@ -155,6 +159,100 @@ def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.split_counts(stored)
 
 
+def stream_retry(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record of the raw log with its end: good, or dead with its payload, and the attempt that ended it.
+
+    The stream is stopped halfway and started again. An error record fails until its attempt exceeds ``event_id % 5``.
+    """
+    raw, path = dirty_events(_events(spark, folder)), shared_path(spark, "retry")
+    schema, order = ", ".join(f"{c} STRING" for c in raw.columns), ["ts", "event_id"]
+
+    def works(attempt: Column) -> Column:
+        fails = F.pmod(F.expr("try_cast(event_id AS BIGINT)"), F.lit(5)) >= attempt
+        return ~((F.trim("event_type") == "error") & fails)
+
+    def go_on() -> None:
+        stream = replay.read_stream(spark, f"{path}/in", schema, STREAM_FILES)
+        retry.run_with_retries(stream, f"{path}/out", f"{path}/state", schema, works, MAX_ATTEMPTS)
+
+    first_half = F.crc32("event_id") % 2 == 0
+    replay.stage(raw.where(first_half), f"{path}/in", order, STREAM_ROWS)
+    go_on()
+    replay.stage(raw.where(~first_half), f"{path}/in", order, STREAM_ROWS, "append")
+    go_on()
+    replay.tick(spark, f"{path}/in", schema, sum(retry.delays(MAX_ATTEMPTS)), STREAM_FILES)
+    go_on()
+    done = retry.finished(spark, f"{path}/out", schema)
+    return done.select("event_id", F.col("kind").alias("status"), "reason", "attempt", "payload")
+
+
+def live_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two charts over the reviews that a stream has counted."""
+    labels = _labels(spark, folder).select("doc_id", "quality")
+    reviews = _docs(spark, folder).select("doc_id", "lang").join(labels, "doc_id", "left")
+    return feed.charts(_fed(spark, reviews), "lang", "quality")
+
+
+def _fed(spark: SparkSession, reviews: DataFrame, rows: int = STREAM_ROWS, files_per_trigger: int = STREAM_FILES) -> DataFrame:
+    path, by = shared_path(spark, "feed"), ["lang", "quality"]
+    replay.stage(reviews, f"{path}/in", ["doc_id"], rows)
+    stream = replay.read_stream(spark, f"{path}/in", "doc_id BIGINT, lang STRING, quality INT", files_per_trigger)
+    counts = stream.groupBy(*by).agg(F.count("*").alias("n"))
+    return feed.read_feed(spark, f"{path}/out", feed.run_feed(counts, by, f"{path}/out", f"{path}/state"))
+
+
+def live_activity(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per day and type as a stream counts them; some arrive after all others, and those of closed days are told apart."""
+    events, delayed = _events(spark, folder), F.col("event_id") % 41 == 0
+    path, order = shared_path(spark, "activity"), ["ts", "event_id"]
+
+    def go_on() -> DataFrame:
+        stream = replay.read_stream(spark, f"{path}/in", EVENTS, STREAM_FILES)
+        counts = feed.windowed_counts(stream, "event_type", lateness=FEED_LATENESS)
+        schema = feed.run_feed(counts, ["start", "event_type"], f"{path}/out", f"{path}/state")
+        return feed.read_feed(spark, f"{path}/out", schema)
+
+    replay.stage(events.where(~delayed), f"{path}/in", order, STREAM_ROWS)
+    go_on()
+    replay.stage(events.where(delayed), f"{path}/in", order, STREAM_ROWS, "append")
+    counted = go_on()
+    admitted = spark.read.schema(EVENTS).parquet(f"{path}/in")
+    told = feed.with_late(admitted, counted, F.date_trunc("day", "ts").cast("timestamp_ntz"), "event_type")
+    return told.select(F.to_date("start").alias("dt"), "event_type", "n", "late")
+
+
+def _stream_sessions(spark: SparkSession, parts: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Closed sessions of a stream that admits one part after the other and is then flushed; and all that it admitted."""
+    path, order, gap = shared_path(spark, "sessions"), ["ts", "event_id"], sessions_.SIX_HOURS
+    merged = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(merged)
+    spark.conf.set(merged, "true")  # a hot user's events meet in the map tasks first
+    try:
+        closing = stream_sessions_.closing_row(reduce(DataFrame.unionAll, parts), gap)
+        for part in [*parts, closing]:
+            replay.stage(part, f"{path}/in", order, STREAM_ROWS, "append")
+            stream = replay.read_stream(spark, f"{path}/in", EVENTS, STREAM_FILES)
+            stream_sessions_.run_sessions(stream, f"{path}/out", f"{path}/state", gap)
+    finally:
+        spark.conf.set(merged, before)
+    return stream_sessions_.closed_sessions(spark, f"{path}/out"), spark.read.schema(EVENTS).parquet(f"{path}/in")
+
+
+def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of ``session_summary``, from a stream."""
+    closed, _ = _stream_sessions(spark, [_events(spark, folder)])
+    return sessions_.numbered_sessions(closed)
+
+
+def stream_sessions_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Of each user's events, those that came too late for any session: some old ones arrive after all others."""
+    events = _events(spark, folder)
+    newest = events.agg(F.max("ts")).scalar()
+    delayed = (F.col("event_id") % 41 == 0) & (F.col("ts") < newest - F.expr("INTERVAL '5' DAY"))
+    closed, admitted = _stream_sessions(spark, [events.where(~delayed), events.where(delayed)])
+    return stream_sessions_.late_events(admitted, closed)
+
+
 def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     """All dead letters of the raw log: records that break a rule, and failed records of tasks out of retries."""
     raw = dirty_events(_events(spark, folder))
@@ -405,6 +503,11 @@ QUERIES: dict[str, Query] = {
     "stream_label": stream_label,
     "stream_dead_letters": stream_dead_letters,
     "stream_model_label": stream_model_label,
+    "stream_retry": stream_retry,
+    "live_feed": live_feed,
+    "live_activity": live_activity,
+    "stream_sessions": stream_sessions,
+    "stream_sessions_late": stream_sessions_late,
     "dead_letters": dead_letters,
     "reviews": reviews,
     "rule_features": lambda s, d: features.rule_features(_texts(s, d)),

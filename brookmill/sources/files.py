@@ -45,6 +45,22 @@ def any_file_available(spark: SparkSession, paths: Sequence[str]) -> bool:
     return False
 
 
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the paths that exist; nothing is listed or read."""
+    conf, found = spark.sparkContext._jsc.hadoopConfiguration(), []
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        if path.getFileSystem(conf).exists(path):
+            found.append(name)
+    return found
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that may be missing."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _fingerprint(df: DataFrame) -> DataFrame:
     """``rows, print``: row count and order-free checksum of all rows, by one partial aggregate.
 

@@ -21,12 +21,12 @@ def replay_cap(df: DataFrame, order: Sequence[str], n: int = 10_000) -> DataFram
     return df.orderBy(*order).limit(n)
 
 
-def stage(df: DataFrame, path: str, order: Sequence[str], rows: int) -> None:
-    """Write records in replay order as files of at most ``rows`` rows, by balanced ranges."""
+def stage(df: DataFrame, path: str, order: Sequence[str], rows: int, mode: str = "overwrite") -> None:
+    """Write records in replay order as files of at most ``rows`` rows, by balanced ranges; ``append`` adds to those there."""
     (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("maxRecordsPerFile", rows)
         .parquet(path)
     )
@@ -42,6 +42,22 @@ def read_stream(
     )
 
 
+def tick(spark: SparkSession, path: str, schema: str, batches: int, files_per_trigger: int) -> None:
+    """Add files without rows for ``batches`` more batches: work that waits for its batch gets one."""
+    for _ in range(batches * files_per_trigger):
+        spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def run_to_end(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+    """Run ``step`` on each micro-batch until the source as it is now has been read, and stop."""
+    writer = stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint)
+    query = writer.trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+
+
 def run_batches(
     stream: DataFrame,
     out: str,
