@@ -2,7 +2,8 @@
 
 Every distinct word of a text is one hashed feature, and so is its beginning. The score is a bias, a weight per feature, and for each
 pair of features the product of their latent vectors: a pair may tell more than its two words alone. The sum
-over all pairs is taken in linear time, as half of (square of the sum - sum of the squares).
+over all pairs is taken in linear time, as half of (square of the sum - sum of the squares). Which terms are learnt at all is
+decided by the loss on rows that were kept back: only those that tell alone, or all of them.
 """
 
 from __future__ import annotations
@@ -60,12 +61,37 @@ def telling(rows: list[np.ndarray], labels: np.ndarray, rarest: int = 3, least:
     return (inside + outside >= rarest) & (np.abs(ratio) > least * error)
 
 
+def occurring(rows: list[np.ndarray], labels: np.ndarray, rarest: int = 3) -> np.ndarray:
+    """Which buckets occur in at least ``rarest`` rows, whatever they tell alone."""
+    return np.bincount(np.concatenate(rows), minlength=1 << BUCKET_BITS) >= rarest
+
+
 def train(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 10, rate: float = 0.15, decay: float = 1e-4) -> FactorizationMachine:
     """Logistic loss, adaptive gradient steps one row at a time, in an order fixed by the seed.
 
-    Only ``telling`` features are learnt; the others stay at zero, so that the many neutral words of a long
-    text neither outvote a few strong ones nor are learnt by heart.
+    Two sets of terms are tried, each learnt on four fifths of the rows and measured by its loss on the rest: those that tell alone, and
+    all that occur in several rows. The better one is learnt on all rows. With the first, the many neutral words of a long text
+    neither outvote a few strong ones nor are learnt by heart; with the second, words of which only pairs tell are learnt too.
     """
+    if not 0 < labels.sum() < len(labels):
+        return descend(rows, labels, np.zeros(1 << BUCKET_BITS, bool), epochs, rate, decay)
+    part = np.arange(len(rows)) % 5 == 0
+    kept, left = ([rows[i] for i in np.flatnonzero(p)] for p in (~part, part))
+    choices = [telling, occurring]
+    if len(set(labels[~part])) > 1 and len(left):
+        losses = [loss(descend(kept, labels[~part], c(kept, labels[~part]), epochs, rate, decay), left, labels[part]) for c in choices]
+        choices = [choices[int(np.argmin(losses))]]
+    return descend(rows, labels, choices[0](rows, labels), epochs, rate, decay)
+
+
+def loss(model: FactorizationMachine, rows: list[np.ndarray], labels: np.ndarray) -> float:
+    """Mean logistic loss."""
+    p = np.array([model.probability(r) for r in rows]).clip(1e-6, 1 - 1e-6)
+    return float(-np.log(np.where(labels > 0, p, 1 - p)).mean())
+
+
+def descend(rows: list[np.ndarray], labels: np.ndarray, used: np.ndarray, epochs: int, rate: float, decay: float) -> FactorizationMachine:
+    """Learn the weights and latent vectors of the buckets in ``used``; all others stay zero."""
     size = 1 << BUCKET_BITS
     random = np.random.default_rng(7)
     positive = float(labels.sum())
@@ -74,7 +100,6 @@ def train(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 10, rate: fl
     )
     if not 0 < positive < len(labels):
         return model
-    used = telling(rows, labels)
     model.latent[used] = random.normal(0, 0.01, (int(used.sum()), FACTORS))
     rows = [r[used[r]] for r in rows]
     w, v = model.weights, model.latent
