@@ -428,6 +428,31 @@ SELECT concat_ws('+', CASE WHEN a THEN 'digits' END, CASE WHEN b THEN 'length' E
                  CASE WHEN c THEN 'rules' END) AS subset, true AS valid
 FROM (VALUES (false), (true)) x(a), (VALUES (false), (true)) y(b), (VALUES (false), (true)) z(c)""",
     "rule_features": f"WITH {RULES} SELECT doc_id, email, phone, licence, symbols, score FROM rules",
+    "indexed_search": r"""
+SELECT CAST(pattern AS INTEGER) AS pattern, doc_id
+FROM (SELECT doc_id, unnest(range(0, 5)) AS pattern,
+             unnest([regexp_matches(text, '(?i)\bthe\s+\w+ing\b'), regexp_matches(text, '(?i)licen[sc]e\b'),
+                     regexp_matches(text, '[0-9]{3}-[0-9]{4}'), regexp_matches(text, '\.\s+The\s'),
+                     regexp_matches(text, 'copyright|[%*#]{3,}')]) AS hit
+      FROM documents)
+WHERE hit""",
+    "rule_table": rf"""
+WITH {RULES},
+words AS (
+  SELECT DISTINCT word
+  FROM (SELECT unnest(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+')) AS word FROM documents)
+  WHERE regexp_full_match(word, '[a-z]{{7,}}') ORDER BY md5(word), word LIMIT 200
+)
+SELECT doc_id, rule_id, weight
+FROM (SELECT doc_id, unnest(['email', 'phone', 'licence', 'symbols']) AS rule_id,
+             unnest([1.0e0, 1.0e0, 0.5e0, 2.0e0]) AS weight, unnest([email, phone, licence, symbols]) AS hit FROM rules)
+WHERE hit = 1
+UNION ALL
+SELECT doc_id, 'word:' || word, 0.1e0 FROM documents, words WHERE regexp_matches(text, word || '[^a-z]')""",
+    "balanced_sample": """
+SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id)
+        <= (SELECT min(n) FROM (SELECT count(*) AS n FROM labels WHERE quality IS NOT NULL GROUP BY quality))""",
     "feature_sample": """
 SELECT doc_id FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 200""",
     "feature_fusion": f"""

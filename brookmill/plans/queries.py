@@ -16,6 +16,10 @@ from brookmill.functions.text import as_json, char_grams, join_list
 from brookmill.operators import attribution, cleaning, dashboard, faults, features, models, profile, splits, tree_shap as shap
 from brookmill.operators import sessions as sessions_
 from brookmill.operators.ranking import rank_auc as ranked_auc
+from brookmill.operators.rule_index import rule_hits, rule_rows
+from brookmill.operators.sampling import balanced_sample
+from brookmill.operators.search_index import build_index
+from brookmill.operators.search_index import indexed_search as search
 from brookmill.session import materialise, shared_path
 from brookmill.sources import csv_files, files
 from brookmill.sources.models import load_model, save_model
@@ -41,6 +45,8 @@ STREAM_ROWS = 10_000
 STREAM_FILES = 2
 TFIDF_FEATURES = 4_096
 REPLAY_CAP = 6_000
+RULE_WORDS = 200
+SEARCHED = (PATTERN, r"(?i)licen[sc]e\b", r"[0-9]{3}-[0-9]{4}", r"\.\s+The\s", r"copyright|[%*#]{3,}")
 TREE_DEPTH = 3
 MAX_ATTEMPTS = 3
 FEED_LATENESS = "2 days"
@@ -317,6 +323,25 @@ def feature_fusion(spark: SparkSession, folder: str) -> DataFrame:
     return features.feature_fusion(numbers, _labels(spark, folder), batch)
 
 
+def indexed_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Hits of several patterns over one index; the last asks for nothing that the index could tell."""
+    docs = materialise(_texts(spark, folder), "texts")
+    index = build_index(docs)
+    found = [search(docs, index, p).select(F.lit(i).alias("pattern"), "doc_id") for i, p in enumerate(SEARCHED)]
+    return reduce(DataFrame.unionAll, found)
+
+
+def rule_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Hits of a rule base of rows: the program's rules, and one for each of 200 long words of the corpus."""
+    docs = _texts(spark, folder).select("doc_id", "text")
+    fixed = rule_rows(docs, features.RULES, {"email": ["@"], "licence": ["licence", "license", "copyright"]})
+    words = dashboard.word_counts(docs).where(r"word RLIKE '^[a-z]{7,}$'").orderBy(F.md5("word"), "word").limit(RULE_WORDS)
+    learnt = words.select(
+        F.concat(F.lit("word:"), "word").alias("rule_id"), F.concat("word", F.lit("[^a-z]")).alias("pattern"), F.lit(0.1).alias("weight"), F.array("word").alias("literals")
+    )
+    return rule_hits(docs, materialise(fixed.unionAll(learnt), "rules"))
+
+
 def _inputs(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:
     """All features of every document, from one scan of its text."""
     return _texts(spark, folder).select(
@@ -510,6 +535,9 @@ QUERIES: dict[str, Query] = {
     "stream_sessions_late": stream_sessions_late,
     "dead_letters": dead_letters,
     "reviews": reviews,
+    "rule_table": rule_table,
+    "indexed_search": indexed_search,
+    "balanced_sample": lambda s, d: balanced_sample(_labels(s, d), "quality", "doc_id"),
     "rule_features": lambda s, d: features.rule_features(_texts(s, d)),
     "feature_sample": lambda s, d: features.feature_sample(_docs(s, d), n=200),
     "feature_fusion": feature_fusion,
