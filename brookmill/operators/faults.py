@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +107,10 @@ def retried_to_death(
     Attempts after a task's first success do not count, as in ``retry_ledger``.
     """
     task = list(task)
-    dead = dead_tasks(retry_ledger(records, task, order, ok, max_failures)).select(*task, F.col("attempts").alias("_counted"))
     numbered = number_rows(records, task, order, "attempt").where(~F.col(ok))
-    return numbered.join(dead, task).where(F.col("attempt") <= F.col("_counted")).drop("_counted")
+    dead = dead_tasks(retry_ledger(records, task, order, ok, max_failures)).select(*task, F.col("attempts").alias("_counted"))
+    failures = numbered.groupBy(*task).agg(F.count("*").alias("_n"))
+    same = reduce(Column.__and__, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in task])
+    sized = dead.alias("a").join(failures.alias("b"), same).select(*[f"a.{c}" for c in task], "_n", "_counted")  # a row per task
+    found = lookup(numbered, materialise(sized, "dead-tasks"), task, "_n", order)
+    return found.where(F.col("attempt") <= F.col("_counted")).drop("_counted")

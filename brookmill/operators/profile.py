@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmill.functions.numbers import cents, rounded
-from brookmill.operators.skew import percentiles_of_counts, range_counts
+from brookmill.operators.skew import lookup, percentiles_of_counts, range_counts
+from brookmill.session import materialise
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
@@ -39,14 +40,16 @@ def log_stats(events: DataFrame, by: str = "event_type", value: str = "value") -
     counted = range_counts(events, by, value)
     n = F.when(F.col(value).isNotNull(), F.col("_n"))
     sums = counted.groupBy(by).agg(
+        F.count("*").alias("_values"),
         F.coalesce(F.sum(n), F.lit(0)).alias("n"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         (F.sum(F.col(value) * n) / F.sum(n)).alias("avg"),
     )
-    means = sums.select(F.col(by).alias("_group"), F.col("avg").alias("_mean"))
+    sums = materialise(sums, "group-sums")
+    means = sums.select(by, "_values", F.col("avg").alias("_mean"))
     deviation = F.sum(n * F.pow(F.col(value) - F.col("_mean"), 2)).alias("_squares")
-    squares = counted.join(means, F.col(by).eqNullSafe(F.col("_group"))).groupBy("_group").agg(deviation)
+    squares = lookup(counted, means, [by], "_values", [value]).groupBy(F.col(by).alias("_group")).agg(deviation)
     moments = sums.join(squares, F.col(by).eqNullSafe(F.col("_group")), "left").select(
         by,
         "n",

@@ -9,6 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from brookmill.operators.skew import number_rows
+
+TAKEN = 100_000
 
 
 def rows_per_file(qps: float, interval_s: float, files_per_trigger: int = 1) -> int:
@@ -17,8 +22,14 @@ def rows_per_file(qps: float, interval_s: float, files_per_trigger: int = 1) ->
 
 
 def replay_cap(df: DataFrame, order: Sequence[str], n: int = 10_000) -> DataFrame:
-    """The first ``n`` records in replay order; each task keeps only its own first ``n``."""
-    return df.orderBy(*order).limit(n)
+    """The first ``n`` records in replay order.
+
+    Up to ``TAKEN``, each task keeps only its own first ``n``, and one task merges them. Beyond that, ranges of the order are numbered and cut,
+    so that no task holds all of them; ``order`` must be unique then.
+    """
+    if n <= TAKEN:
+        return df.orderBy(*order).limit(n)
+    return number_rows(df, [], order, "_place").where(F.col("_place") <= n).drop("_place")
 
 
 def stage(df: DataFrame, path: str, order: Sequence[str], rows: int, mode: str = "overwrite") -> None:
@@ -33,13 +44,17 @@ def stage(df: DataFrame, path: str, order: Sequence[str], rows: int, mode: str =
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: str, files_per_trigger: int
+    spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None, bytes_per_trigger: int | None = None
 ) -> DataFrame:
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(path)
-    )
+    """Staged records as a stream that admits so many files, or files of so many bytes, to a batch.
+
+    By bytes, a batch of wide records holds fewer of them; one file is always admitted, so stage files below the bound. Either limit may differ when
+    the stream is started again from its checkpoint: it holds for what is admitted from then on.
+    """
+    if (files_per_trigger is None) == (bytes_per_trigger is None):
+        raise ValueError("limit batches by files or by bytes")
+    limit = ("maxFilesPerTrigger", files_per_trigger) if bytes_per_trigger is None else ("maxBytesPerTrigger", bytes_per_trigger)
+    return spark.readStream.schema(schema).option(*limit).parquet(path)
 
 
 def tick(spark: SparkSession, path: str, schema: str, batches: int, files_per_trigger: int) -> None:
