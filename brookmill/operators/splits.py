@@ -134,3 +134,23 @@ def tree_rows(df: DataFrame, nodes: Sequence[Node]) -> DataFrame:
     """The nodes as a table, for a report."""
     rows = [(x.id, x.feature, x.threshold, x.gain, x.n, x.positive) for x in nodes]
     return df.sparkSession.createDataFrame(rows, TREE)
+
+
+def tree_nodes(rows: DataFrame) -> list[Node]:
+    """The nodes of a stored ``tree_rows``."""
+    found = [Node(r.node, r.n, r.positive, r.feature, r.threshold, r.gain) for r in rows.collect()]  # as many as the depth allows
+    return sorted(found, key=lambda node: node.id)
+
+
+def score(nodes: Sequence[Node]) -> Column:
+    """The share of class 1 in the leaf that a row falls into, as a column expression over the features; null for no tree."""
+    by_id = {node.id: node for node in nodes}
+
+    def below(id: int) -> Column:
+        node = by_id[id]
+        if node.feature is None:
+            return F.lit(node.positive / node.n)
+        left = F.coalesce(F.col(node.feature) <= F.lit(node.threshold), F.lit(False))
+        return F.when(left, below(2 * id)).otherwise(below(2 * id + 1))
+
+    return below(1) if by_id else F.lit(None).cast("double")

@@ -113,6 +113,20 @@ numbers AS (
   FROM documents
 )"""
 
+GRAMS = """
+WITH chars AS (
+  SELECT doc_id, string_split(text, '') AS ch FROM documents WHERE length(text) >= 2
+),
+grams AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(ch)), lambda i: ch[i] || ch[i + 1])) AS gram
+  FROM chars
+),
+counts AS (SELECT doc_id, gram, count(*) AS tf FROM grams GROUP BY doc_id, gram),
+weights AS (
+  SELECT gram, count(*) AS df, ln(((SELECT count(*) FROM documents) + 1.0e0) / (count(*) + 1.0e0)) AS idf
+  FROM counts GROUP BY gram
+)"""
+
 CELLS = (
     RULES
     + """,
@@ -459,22 +473,18 @@ SELECT doc_id FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT
 WITH {RULES}, {NUMBERS}
 SELECT doc_id, quality, toxic, n_chars, n_words, n_digits, email, phone, licence, symbols, score
 FROM labels JOIN numbers USING (doc_id) JOIN rules USING (doc_id)""",
-    "char_tfidf": """
-WITH chars AS (
-  SELECT doc_id, string_split(text, '') AS ch FROM documents WHERE length(text) >= 2
-),
-grams AS (
-  SELECT doc_id, unnest(list_transform(range(1, len(ch)), lambda i: ch[i] || ch[i + 1])) AS gram
-  FROM chars
-),
-counts AS (SELECT doc_id, gram, count(*) AS tf FROM grams GROUP BY doc_id, gram),
-weights AS (
-  SELECT gram, ln(((SELECT count(*) FROM documents) + 1.0e0) / (count(*) + 1.0e0)) AS idf
-  FROM counts GROUP BY gram
-)
+    "char_tfidf": f"""
+{GRAMS}
 SELECT doc_id, gram, tf, round(tf * idf, 6) AS tfidf
 FROM counts JOIN weights USING (gram)
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * idf, 6) DESC, gram) <= 20""",
+    "tfidf_vectors": f"""
+{GRAMS},
+vocabulary AS (
+  SELECT gram, idf, row_number() OVER (ORDER BY df DESC, encode(gram)) - 1 AS index FROM weights
+  QUALIFY index < 4096
+)
+SELECT doc_id, CAST(index AS INTEGER) AS index, round(tf * idf, 6) AS weight FROM counts JOIN vocabulary USING (gram)""",
     "class_weights": """
 SELECT quality, count(*) AS n,
        round((SELECT count(quality) FROM labels)
@@ -509,6 +519,10 @@ SELECT a.doc_id, feature,
 FROM worths a JOIN players ON (a.s >> bit) & 1 = 0
 JOIN worths b ON b.doc_id = a.doc_id AND b.s = a.s + (1 << bit)
 GROUP BY a.doc_id, feature""",
+    # With all features known, a document's worth is that of its own leaf.
+    "stream_tree_score": f"""
+WITH {TREE_GAME}
+SELECT doc_id, round(v, 6) AS score FROM worths WHERE s = (SELECT (1 << max(m)) - 1 FROM players)""",
     "boosted_shap_check": "SELECT doc_id, true AS adds_up FROM documents",
     "rank_auc": f"""
 WITH {NUMBERS},

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Bucketizer
+from pyspark.ml.feature import Bucketizer, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from brookmill.operators.rule_index import rule_hits, rule_rows
 from brookmill.operators.sampling import balanced_sample
 from brookmill.operators.search_index import build_index
 from brookmill.operators.search_index import indexed_search as search
+from brookmill.operators.vocabulary import sparse_vectors, tfidf_entries
 from brookmill.session import materialise, shared_path
 from brookmill.sources import csv_files, files
 from brookmill.sources.models import load_model, save_model
@@ -365,14 +366,16 @@ def rf_score(spark: SparkSession, folder: str) -> DataFrame:
     return models.fit_score(_model_input(spark, folder), FUSED, "quality", forest)
 
 
-def _fused_input(spark: SparkSession, folder: str, buckets: int = TFIDF_FEATURES) -> DataFrame:
-    """The model input with character TF-IDF hashed to ``buckets``; the texts are taken apart once.
+def _fused_input(spark: SparkSession, folder: str, size: int = TFIDF_FEATURES) -> DataFrame:
+    """The model input with unit-length TF-IDF over the ``size`` commonest character grams, each with an index of its own."""
+    entries = tfidf_entries(_docs(spark, folder), size=size)
+    joined = sparse_vectors(_model_input(spark, folder), entries, size, name="_weights")
+    return Normalizer(inputCol="_weights", outputCol="tfidf").transform(joined).drop("_weights")
 
-    The count vectors are the one table that is written; weighting them is a projection on reading.
-    """
-    inputs = _inputs(spark, folder, char_grams(F.col("text")).alias("grams"))
-    counted = materialise(_with_label(features.hashed_counts(inputs, buckets), folder), "gram-vectors")
-    return features.idf_pipeline().fit(counted).transform(counted).drop("tf", "_idf")
+
+def tfidf_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    entries = tfidf_entries(_docs(spark, folder), size=TFIDF_FEATURES)
+    return entries.withColumn("weight", rounded(F.col("weight")))
 
 
 def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -426,6 +429,20 @@ def tree_shap(spark: SparkSession, folder: str) -> DataFrame:
     return shap.tree_shap(rows, [(1.0, leaves)]).withColumn("phi", rounded(F.col("phi")))
 
 
+def stream_tree_score(spark: SparkSession, folder: str) -> DataFrame:
+    """The tree of ``split_tree``, trained, stored, loaded, and applied to every document on a stream."""
+    rows, path = _model_input(spark, folder), shared_path(spark, "tree")
+    splits.tree_rows(rows, splits.grow(rows, FUSED, "quality", TREE_DEPTH)).write.parquet(path)
+    nodes = splits.tree_nodes(spark.read.schema(splits.TREE).parquet(path))
+    staged, schema = rows.select("doc_id", *FUSED), ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", *FUSED))
+    replay.stage(staged, f"{path}-stream/in", ["doc_id"], STREAM_ROWS)
+    stream = replay.read_stream(spark, f"{path}-stream/in", schema, STREAM_FILES)
+    scored = splits.score(nodes)
+    replay.run_batches(stream, f"{path}-stream/out", f"{path}-stream/state", lambda batch: batch.select("doc_id", scored.alias("score")))
+    out = spark.read.schema("doc_id BIGINT, score DOUBLE, batch_id INT").parquet(f"{path}-stream/out")
+    return out.select("doc_id", rounded(F.col("score")).alias("score"))
+
+
 def _boosted(spark: SparkSession, folder: str) -> tuple[DataFrame, PipelineModel]:
     rows = _model_input(spark, folder)
     return rows, models.fit(rows.where("quality IS NOT NULL"), FUSED, models.boosted_trees("quality"))
@@ -541,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "rule_features": lambda s, d: features.rule_features(_texts(s, d)),
     "feature_sample": lambda s, d: features.feature_sample(_docs(s, d), n=200),
     "feature_fusion": feature_fusion,
+    "tfidf_vectors": tfidf_vectors,
     "char_tfidf": lambda s, d: features.char_tfidf(_docs(s, d)),
     "class_weights": lambda s, d: features.class_weights(_labels(s, d), "quality"),
     "rf_score": rf_score,
@@ -552,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "best_split": best_split,
     "split_tree": split_tree,
     "tree_shap": tree_shap,
+    "stream_tree_score": stream_tree_score,
     "boosted_shap": boosted_shap,
     "boosted_shap_check": boosted_shap_check,
     "rank_auc": rank_auc,
