@@ -5,13 +5,14 @@ binary search: its neighbours give the longest verbatim match, and the range of
 places. Sorting leaves out suffixes that cannot match two words: those whose first two words stand nowhere in
 the test set side by side (one word, if an item has only one).
 
-The test set is broadcast in blocks of bounded size; each block is one pass in the same stage.
+The test set is broadcast in blocks of bounded size, one at a time; with several, each is a pass over the documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmill.llm.words import class_table, shards, split_words, window_hashes
+from brookmill.session import materialise
 
 BLOCK_BYTES = 8 << 20
 LOOKUPS = 4_096
@@ -182,28 +184,34 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return runs
 
 
-def blocks(tests: DataFrame, id: str, text: str, block_bytes: int) -> list[list[tuple[str, str]]]:
-    """The test set's items as (name, text) in blocks; each is collected alone and is then broadcast."""
+def blocks(tests: DataFrame, id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The test set's items as (name, text) in blocks; each is collected alone, when its turn comes. At least one, which may be empty."""
     items = tests.select(F.col(id).cast("string").alias("name"), F.col(text).alias("text")).dropna()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("name")), F.lit(0))).first()[0]
     n = int(total // block_bytes) + 1
+    if n > 1:  # read once, not once per block
+        items = materialise(items.repartition(F.pmod(F.xxhash64("name", "text"), F.lit(n))), "test-items")
     parts = F.pmod(F.xxhash64("name", "text"), F.lit(n))
-    return [[tuple(r) for r in items.where(parts == i).sort("name", "text").collect()] for i in range(n)]
+    for i in range(n):
+        yield [tuple(r) for r in items.where(parts == i).sort("name", "text").collect()]
 
 
-def matches(
-    docs: DataFrame, tests: DataFrame, window: int = 10, id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES
-) -> list[Column]:
-    """One column per block of the test set, to be computed over ``docs[text]``; see ``FOUND``.
+def matched_blocks(
+    docs: DataFrame, tests: DataFrame, window: int, text: str, block_bytes: int, keep: Callable[[DataFrame, Column], DataFrame]
+) -> Iterator[DataFrame]:
+    """``keep(docs, found)`` for each block of the test set, where ``found`` (see ``FOUND``) looks the block up in ``docs[text]``.
 
-    ``n_words``: words of the document; ``spans``: its words inside any occurrence of a window, as
-    maximal runs; ``items``: ids of the items with an occurring window; ``longest``: words of the longest
-    match. Null and empty texts have no words and no match; items without words, with a null text
-    or a null id are left out. Repeated documents are matched each alone; repeated items count once.
+    If there are several, each result is written before the next block is collected, and its broadcast is dropped: the driver and the workers hold
+    one block, whatever the size of the test set.
     """
-    context = docs.sparkSession.sparkContext
-    sent = [context.broadcast(TestSet.of(block, window)) for block in blocks(tests, id, text, block_bytes)]
-    return [matcher(block)(F.col(text)) for block in sent]
+    context, held = docs.sparkSession.sparkContext, None
+    for block in blocks(tests, "item_id", text, block_bytes):
+        if held is not None:  # there are several: write the one before
+            yield materialise(held[0], "block-matches")
+            held[1].destroy()
+        sent = context.broadcast(TestSet.of(block, window))
+        held = keep(docs, matcher(sent)(F.col(text))), sent
+    yield held[0]
 
 
 def matcher(sent: Broadcast) -> Callable[[Column], Column]:
@@ -221,23 +229,40 @@ def matcher(sent: Broadcast) -> Callable[[Column], Column]:
 
 
 def match_documents(docs: DataFrame, tests: DataFrame, window: int = 10, id: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``id, n_words, spans, items, longest`` of each document over the whole test set. No shuffle of documents."""
-    columns = matches(docs, tests, window, block_bytes=block_bytes)
-    each = docs.select(id, *[c.alias(f"_{i}") for i, c in enumerate(columns)])
-    found = [F.col(f"_{i}") for i in range(len(columns))]
-    if len(found) == 1:
-        return each.select(id, "_0.*")
+    """``id, n_words, spans, items, longest`` of each document over the whole test set.
+
+    ``n_words``: words of the document; ``spans``: its words inside any occurrence of a window, as
+    maximal runs; ``items``: ids of the items with an occurring window; ``longest``: words of the longest
+    match. Null and empty texts have no words and no match; items without words, with a null text
+    or a null id are left out. Repeated documents are matched each alone; repeated items count once.
+
+    Over one block of the test set nothing is shuffled. Over several, documents get numbers, and only the matches, which are few, meet by number.
+    """
+    several = int(tests.agg(F.coalesce(F.sum(F.octet_length("text") + F.lit(20)), F.lit(0))).first()[0]) >= block_bytes
+    if not several:
+        found = matched_blocks(docs, tests, window, "text", 1 << 62, lambda df, c: df.select(id, c.alias("_0")))
+        return next(found).select(id, "_0.*")
+
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id).alias("_id"), "text"), "numbered-texts")
+    each = list(matched_blocks(rows, tests, window, "text", block_bytes, lambda df, c: df.select("_row", "_id", c.alias("_0")).select("_row", "_id", "_0.*")))
+    hits = reduce(DataFrame.unionAll, [e.where(F.size("items") > 0).drop("_id", "n_words") for e in each])
 
     @F.pandas_udf("ARRAY<STRUCT<start: INT, stop: INT>>")
     def union(spans: pd.Series) -> pd.Series:
         return spans.map(lambda s: [{"start": a, "stop": b} for a, b in merged([(x["start"], x["stop"]) for x in s])])
 
-    return each.select(
-        id,
-        found[0]["n_words"].alias("n_words"),
-        union(F.flatten(F.array(*[f["spans"] for f in found]))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.array(*[f["items"] for f in found])))).alias("items"),
-        F.greatest(*[f["longest"] for f in found]).alias("longest"),
+    of_row = hits.groupBy(F.col("_row").alias("_hit")).agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.max("longest").alias("longest"),
+    )
+    counted = each[0].select("_row", "_id", "n_words").join(of_row, F.col("_row") == F.col("_hit"), "left")
+    return counted.select(
+        F.col("_id").alias(id),
+        "n_words",
+        union(F.coalesce("spans", F.array().cast(of_row.schema["spans"].dataType))).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("longest", F.lit(0)).alias("longest"),
     )
 
 
@@ -251,8 +276,12 @@ def match_digests(found: DataFrame, id: str = "doc_id") -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, tests: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs``, all columns, that contain no window of the test set."""
-    out = docs
-    for column in matches(docs, tests, window, block_bytes=block_bytes):
-        out = out.where(F.size(column["items"]) == 0)
-    return out
+    """The rows of ``docs``, all columns, that contain no window of the test set. Over several blocks, what one leaves is written for the next."""
+    context, sent = docs.sparkSession.sparkContext, None
+    for block in blocks(tests, "item_id", "text", block_bytes):
+        if sent is not None:
+            docs = materialise(docs, "clean-so-far")
+            sent.destroy()
+        sent = context.broadcast(TestSet.of(block, window))
+        docs = docs.where(F.size(matcher(sent)(F.col("text"))["items"]) == 0)
+    return docs
