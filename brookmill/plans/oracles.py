@@ -355,6 +355,7 @@ SELECT user_id, dt, attempts, failures, status,
        CASE WHEN status = 'pending' THEN least(60.0e0, pow(2.0e0, failures - 1)) END AS next_delay_s
 FROM states""",
     "dlq_split": DLQ,
+    # The key words of the log filter, and the fields and codes of the status further below.
     "log_filter": """
 SELECT line FROM (SELECT trim(event_type || ': ' || props, E' \\t\\r\\n') AS line FROM events)
 WHERE line <> '' AND (contains(line, 'Error') OR contains(line, 'error') OR contains(line, 'WARNING')
