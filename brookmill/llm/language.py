@@ -92,7 +92,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", max_languages
     """Trigram distributions of every language that ``lang`` names, from all rows of ``docs``.
 
     Rows with a null language or text teach nothing. Counts are summed in the map tasks first; the driver
-    gets one number per language and bucket. More than ``max_languages`` names are refused, not dropped.
+    gets one number per language and bucket. More than ``max_languages`` names are refused, not dropped, before any is counted.
     """
     schema = "lang STRING, buckets ARRAY<INT>, counts ARRAY<BIGINT>"
 
@@ -110,6 +110,8 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", max_languages
         }
 
     labelled = docs.select(F.col(lang).alias("_lang"), F.col(text).alias("_text")).dropna()
+    if labelled.select("_lang").distinct().limit(max_languages + 1).count() > max_languages:
+        raise ValueError(f"more than {max_languages} languages; raise max_languages")
     summed = (
         map_batches(labelled, count, schema)
         .select("lang", F.explode(F.arrays_zip("buckets", "counts")).alias("g"))
@@ -118,11 +120,8 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", max_languages
         .groupBy("lang")
         .agg(F.collect_list(F.struct("buckets", "n")).alias("grams"))
         .sort("lang")
-        .limit(max_languages + 1)
         .collect()
     )
-    if len(summed) > max_languages:
-        raise ValueError(f"more than {max_languages} languages; raise max_languages")
     counts = np.zeros((len(summed), BUCKETS))
     for i, row in enumerate(summed):
         counts[i, [g[0] for g in row.grams]] = [g[1] for g in row.grams]
