@@ -4,10 +4,14 @@ A corpus-wide array is not built: most text repeats nowhere. Each window of ``n`
 gram in it with the least hash, so that equal windows have equal anchors at equal places. All consecutive windows with one
 anchor form a block. The steps, each a census over all chunks (see ``census``):
 
-1. Which anchors occur in two documents? A count-min sketch of all anchors; it loses none.
-2. Equal blocks are collapsed to the smallest document that has them: whole copies need no sorting.
-3. Where one anchor has different blocks, these are sorted: their suffix array brings equal windows together,
-   adjacent common prefixes of ``n`` bytes or more tell them apart, and each run has its smallest document.
+1. Which anchors may occur in two documents? A count-min sketch of all anchors; it loses none.
+2. Which of them do? Exactly, and with how many blocks.
+3. The blocks of these are sent, and their suffix array brings equal windows together: adjacent common prefixes of ``n``
+   bytes or more make runs, each run has its smallest document, and this decides about every byte. Blocks
+   of the same bytes stand in an array once. A chunk sends one of them for its smallest document and one for the
+   next, whose answer holds for its others.
+
+Hashes only bring blocks together: bytes decide which are equal.
 
 The array (``two_stage_suffix_array``) sorts only the suffixes that are smaller than their successors; scanning the
 buckets of first bytes induces the others.
@@ -34,7 +38,7 @@ BYTES_PER_ANCHOR = 13  # about: sets the number of slices, not the results
 SORTED_BYTES = 1 << 19
 CONTEXTS = 20_000
 STRIDE = 1 << 16
-NOTHING, WHOLE, COMPARE, COMPARE_WINDOWS = range(4)
+NOTHING, COMPARE, COMPARE_WINDOWS = range(3)
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -188,49 +192,90 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, n: int) -> np.ndarray:
     return same
 
 
+def representatives(
+    keys: tuple[np.ndarray, ...], ids: np.ndarray, rows: np.ndarray, begin: np.ndarray, length: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """An order of byte strings by ``keys``, bytes and id, and where a representative stands in it.
+
+    A string is the first ``length`` bytes of row ``begin`` of ``rows``. Of equal strings the one with the smallest id
+    represents all with this id, and the first with a greater id all others. Keys are hashes, the last one first in
+    the order: where different strings share them, there are more representatives, never too few.
+    """
+    order = np.lexsort((ids, *keys))
+    after, before = order[1:], order[:-1]
+    same = length[after] == length[before]
+    for key in keys:
+        same &= key[after] == key[before]
+    at = np.flatnonzero(same)
+    beyond = np.arange(rows.shape[1])
+    for start in range(0, len(at), STRIDE):
+        some = at[start : start + STRIDE]
+        equal = rows[begin[after[some]]] == rows[begin[before[some]]]
+        same[some] = (equal | (beyond >= length[after[some], None])).all(axis=1)
+    new = np.ones(len(order), bool)
+    new[1:] = ~same
+    own = ids[order]
+    later = own > own[new][np.cumsum(new) - 1]
+    lead = new.copy()
+    lead[1:] |= later[1:] & ~later[:-1]
+    return order, lead
+
+
+def window_keys(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row of bytes."""
+    return mixed((VALUES[rows] * powers(rows.shape[1])[0][: rows.shape[1]]).sum(axis=1, dtype=np.uint64))
+
+
 def covered_windows(blocks: np.ndarray, lengths: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
-    """For each block (a row of bytes) a bit per window: does a block with a smaller id hold the same bytes?"""
+    """For each block (a row of bytes) a bit per window: does a block with a smaller id hold the same bytes?
+
+    Blocks of the same bytes enter the array once, with their smallest id.
+    """
     width = blocks.shape[1]
+    inside = np.arange(width) < lengths[:, None]
+    padded = np.where(inside, blocks, 0)
+    order = np.lexsort((lengths, window_keys(padded)))
+    new = np.ones(len(order), bool)
+    new[1:] = (lengths[order[1:]] != lengths[order[:-1]]) | (padded[order[1:]] != padded[order[:-1]]).any(axis=1)
+    kind = np.empty(len(order), np.int64)  # the distinct block of each
+    kind[order] = np.cumsum(new) - 1
+    sizes = lengths[order[new]]
+    smallest = np.full(len(sizes), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, kind, ids)
+
     # Symbols are shifted by one; 0 ends the text and every block.
-    text = np.zeros((len(blocks), width + 1), np.uint16)
-    text[:, :width] = blocks.astype(np.uint16) + 1
-    inside = np.arange(width + 1) < lengths[:, None]
-    text[~inside] = 0
-    kept = np.arange(width + 1) <= lengths[:, None]
-    flat = text[kept]
-    owner = np.repeat(np.arange(len(blocks)), lengths + 1)
-    starts = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
+    text = np.zeros((len(sizes), width + 1), np.uint16)
+    text[:, :width] = np.where(inside[order[new]], blocks[order[new]].astype(np.uint16) + 1, 0)
+    flat = text[np.arange(width + 1) <= sizes[:, None]]
+    owner = np.repeat(np.arange(len(sizes)), sizes + 1)
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
     order = two_stage_suffix_array(flat, n)
     place = order - starts[owner[order]]
-    order = order[place + n <= lengths[owner[order]]]
+    order = order[place + n <= sizes[owner[order]]]
     run = np.cumsum(~common_prefixes(flat, order, n)) - 1
     least = np.full(run[-1] + 1 if len(run) else 0, np.iinfo(np.int64).max)
     holder = owner[order]
-    np.minimum.at(least, run, ids[holder])
-    hit = ids[holder] > least[run]
+    np.minimum.at(least, run, smallest[holder])
+    earliest = np.full((len(sizes), max(0, width - n + 1)), np.iinfo(np.int64).max)  # by block and window
+    earliest[holder, order - starts[holder]] = least[run]
     out = np.zeros(len(blocks), np.uint64)
-    np.bitwise_or.at(out, holder[hit], np.uint64(1) << (order[hit] - starts[holder[hit]]).astype(np.uint64))
+    for i in range(earliest.shape[1]):
+        out |= (ids > earliest[kind, i]).astype(np.uint64) << np.uint64(i)
     return out
 
 
 def collapse(sent: Arrays, contexts: int) -> np.ndarray:
-    """What to do about each entry (anchor, block, smallest id of the chunk); see the codes."""
-    order = np.lexsort((sent["id"], sent["content"], sent["key"]))
-    key, content, ids = (sent[c][order] for c in ("key", "content", "id"))
-    new_key = np.concatenate([[True], key[1:] != key[:-1]])
-    new_block = new_key | np.concatenate([[True], content[1:] != content[:-1]])
-    block = np.cumsum(new_block) - 1
-    group = np.cumsum(new_key) - 1
-    least = ids[new_block]  # of each block
-    group_of_block = group[new_block]
-    blocks = np.bincount(group_of_block)
-    lowest = np.minimum.reduceat(least, np.flatnonzero(new_key[new_block]))
-    highest = np.maximum.reduceat(least, np.flatnonzero(new_key[new_block]))
-    differ = (blocks > 1) & (lowest < highest)
-    code = np.where(differ, np.where(blocks > contexts, COMPARE_WINDOWS, COMPARE), NOTHING)[group]
-    code[least[block] < ids] = WHOLE
+    """What to do about each anchor of a chunk (its smallest and greatest id, its number of blocks); see the codes."""
+    order = np.argsort(sent["key"], kind="stable")
+    key = sent["key"][order]
+    new = np.ones(len(order), bool)
+    new[1:] = key[1:] != key[:-1]
+    start = np.flatnonzero(new)
+    lowest, highest = np.minimum.reduceat(sent["low"][order], start), np.maximum.reduceat(sent["high"][order], start)
+    blocks = np.add.reduceat(sent["blocks"][order].astype(np.int64), start)
+    code = np.where(lowest < highest, np.where(blocks > contexts, COMPARE_WINDOWS, COMPARE), NOTHING)
     out = np.empty(len(order), np.uint8)
-    out[order] = code
+    out[order] = code[np.cumsum(new) - 1]
     return out
 
 
@@ -275,8 +320,9 @@ def remove_repeats(
 
     With ``readable`` there is also ``_text``: the kept bytes as a string, without the rest of characters that were cut.
 
-    An anchor with over ``contexts`` different blocks would make a large group: there each window is sent as a
-    block of its own, keyed by its own hash, so that the group falls apart, with the same result.
+    An anchor for which over ``contexts`` blocks would be sent makes a large group: there each window is sent as a
+    block of its own, keyed by its own hash, so that the group falls apart, with the same result. A window that very many
+    documents share is sent at most twice by a chunk, and stands in the array once.
     """
     if not 4 <= window <= 120:
         raise ValueError("window must be 4 to 120")
@@ -302,49 +348,75 @@ def remove_repeats(
     )
 
     def suspects(rows: pa.Table, replies: list[bytes]):
-        """Blocks whose anchors may repeat (as indices), the distinct ones among them, and their smallest ids."""
+        """Blocks whose anchors may repeat, in order of anchors (as indices), and which of them are representatives."""
         found, distinct, which = read(rows)
         chosen = np.flatnonzero(aligned(replies[0], "?", distinct, slices)[which])
-        ids = order_keys(rows, id)
-        order = chosen[np.lexsort((ids[found.document[chosen]], found.content[chosen], found.anchor[chosen]))]
+        ids = order_keys(rows, id)[found.document]
+        view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(found.data + bytes(width), np.uint8), width)
+        order, lead = representatives(
+            (found.content[chosen], found.anchor[chosen]), ids[chosen], view, found.begin[chosen], found.windows[chosen] + window - 1
+        )
+        order = chosen[order]
+        anchor = found.anchor[order]
         new = np.ones(len(order), bool)
-        new[1:] = (found.anchor[order][1:] != found.anchor[order][:-1]) | (found.content[order][1:] != found.content[order][:-1])
-        return found, ids, order, new
+        new[1:] = anchor[1:] != anchor[:-1]
+        return found, ids, view, order, lead, new
 
     def collapsing(rows: pa.Table, replies: list[bytes]) -> Arrays:
-        found, ids, order, new = suspects(rows, replies)
-        first = order[new]
-        return {"key": found.anchor[first], "content": found.content[first], "id": ids[found.document[first]]}
+        found, ids, _, order, lead, new = suspects(rows, replies)
+        start, own = np.flatnonzero(new), ids[order]
+        if not len(start):
+            return {c: np.zeros(0, np.uint64) for c in ("key", "low", "high", "blocks")}
+        return {
+            "key": found.anchor[order[start]],
+            "low": np.minimum.reduceat(own, start),
+            "high": np.maximum.reduceat(own, start),
+            "blocks": np.add.reduceat(lead.astype(np.int64), start),
+        }
 
     codes = census(
-        chunks, collapsing, lambda sent: collapse(sent, contexts), {"key": "u8", "content": "u8", "id": "i8"}, slices, [repeated]
+        chunks, collapsing, lambda sent: collapse(sent, contexts), {"key": "u8", "low": "i8", "high": "i8", "blocks": "u4"}, slices, [repeated]
     )
 
-    def differing(rows: pa.Table, replies: list[bytes]):
-        """Also the code of each distinct block, and what is to be compared: blocks or single windows, with their keys."""
-        found, ids, order, new = suspects(rows, replies)
-        first = order[new]
-        code = aligned(replies[1], "u1", found.anchor[first], slices)
+    def comparing(rows: pa.Table, replies: list[bytes]):
+        """What is sent to be compared, blocks or single windows, and whom each answer concerns.
+
+        The latter is three arrays: a representative block, a shift in it, and the place of the answer.
+        """
+        found, ids, view, order, lead, new = suspects(rows, replies)
+        first = order[lead]
+        code = aligned(replies[1], "u1", found.anchor[order[new]], slices)[(np.cumsum(new) - 1)[lead]]
         whole, split = np.flatnonzero(code == COMPARE), np.flatnonzero(code == COMPARE_WINDOWS)
         counts = found.windows[first[split]]
-        block = np.concatenate([whole, np.repeat(split, counts)])  # of each entry that is sent
         shift = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        shift = np.concatenate([np.zeros(len(whole), np.int64), shift])  # of its first window in the block
-        source = first[block]
-        begin = found.begin[source] + shift
-        length = np.where(code[block] == COMPARE, found.windows[source] + window - 1, window)
-        raw = np.frombuffer(found.data + bytes(width), np.uint8)
-        text_rows = np.lib.stride_tricks.sliding_window_view(raw, width)[begin] if len(begin) else np.zeros((0, width), np.uint8)
-        key = found.anchor[source]
-        single = text_rows[len(whole) :, :window]
-        key[len(whole) :] = mixed((VALUES[single] * powers(window)[0][:window]).sum(axis=1, dtype=np.uint64))
-        asked = {"key": key, "id": ids[found.document[source]], "length": length, "bytes": text_rows}
-        return found, ids, order, new, code, block, shift, asked
+        source = np.repeat(first[split], counts)
+        begin, length = found.begin[source] + shift, np.full(len(source), window)
+        key = window_keys(view[begin, :window])
+        by, sent = representatives((key,), ids[source], view, begin, length)
+        answer = np.empty(len(by), np.int64)
+        answer[by] = np.cumsum(sent) - 1 + len(whole)
+        sent = by[sent]
+
+        length = np.concatenate([found.windows[first[whole]] + window - 1, length[sent]])
+        text_rows = view[np.concatenate([found.begin[first[whole]], begin[sent]])]
+        text_rows[np.arange(width) >= length[:, None]] = 0
+        asked = {
+            "key": np.concatenate([found.anchor[first[whole]], key[sent]]),
+            "id": np.concatenate([ids[first[whole]], ids[source[sent]]]),
+            "length": length,
+            "bytes": text_rows,
+        }
+        concerns = (
+            np.concatenate([whole, np.repeat(split, counts)]),
+            np.concatenate([np.zeros(len(whole), np.int64), shift]).astype(np.uint64),
+            np.concatenate([np.arange(len(whole)), answer]),
+        )
+        return found, order, lead, concerns, asked
 
     columns = {"key": "u8", "id": "i8", "length": "u1", "bytes": f"({width})u1"}
     bits = census(
         chunks,
-        lambda rows, replies: differing(rows, replies)[-1],
+        lambda rows, replies: comparing(rows, replies)[-1],
         lambda sent: compared(sent, window, sorted_bytes),
         columns,
         slices,
@@ -361,17 +433,14 @@ def remove_repeats(
     out = to_arrow_schema(added)
 
     def cut(number: int, rows: pa.Table, replies: list[bytes]) -> Iterator[pa.RecordBatch]:
-        found, ids, order, new, code, sent, shift, asked = differing(rows, replies)
-        block = np.cumsum(new) - 1
-        least = ids[found.document[order[new]]][block]
-        own = ids[found.document[order]]
-        covered = np.zeros(len(code), np.uint64)
-        np.bitwise_or.at(covered, sent, aligned(replies[2], "u8", asked["key"], slices) << shift.astype(np.uint64))
-        everything = np.uint64((1 << 64) - 1)
-        covered = np.where((code[block] == WHOLE) | (own > least), everything, covered[block])
+        found, order, lead, (block, shift, place), asked = comparing(rows, replies)
+        answers = aligned(replies[2], "u8", asked["key"], slices)
+        covered = np.zeros(int(lead.sum()), np.uint64)
+        np.bitwise_or.at(covered, block, answers[place] << shift)
+        covered = covered[np.cumsum(lead) - 1]
         begin, windows = found.begin[order], found.windows[order]
         depth = np.zeros(len(found.data) + window + 1, np.int32)
-        whole = covered == everything
+        whole = covered == (np.uint64(1) << windows.astype(np.uint64)) - np.uint64(1)
         np.add.at(depth, begin[whole], 1)
         np.subtract.at(depth, begin[whole] + windows[whole] + window - 1, 1)
         begin, covered = begin[~whole], covered[~whole]
