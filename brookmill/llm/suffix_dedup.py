@@ -57,7 +57,7 @@ class Blocks:
     begin: np.ndarray
     windows: np.ndarray
     document: np.ndarray
-    anchor: np.ndarray  # hash of the anchor gram
+    anchor: np.ndarray  # hash of the anchor gram, spread over all numbers
     content: np.ndarray  # hash of the block's bytes and of the anchor's place
 
     @classmethod
@@ -97,7 +97,8 @@ class Blocks:
             anchor = place[begin]
             content = (sums[begin + count + n - 1] - sums[begin]) * down[begin]
             content ^= ((anchor - begin) << 8 | count).astype(np.uint64) * np.uint64(BASE)
-            parts.append((begin + base, count, grams[anchor], mixed(content)))
+            # Least hashes are small numbers: mixed again, they fall into all slices alike.
+            parts.append((begin + base, count, mixed(grams[anchor]), mixed(content)))
         if not parts:
             parts = [tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))]
         begin, count, anchor, content = (np.concatenate(c) for c in zip(*parts))
