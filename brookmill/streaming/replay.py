@@ -6,6 +6,7 @@ one is committed. That bounds the rate and gives back-pressure without a queue.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from brookmill.operators.skew import number_rows
 
 TAKEN = 100_000
+PART = re.compile(r"part-(\d+)-(.+)-c(\d+)\.")
 
 
 def rows_per_file(qps: float, interval_s: float, files_per_trigger: int = 1) -> int:
@@ -43,16 +45,53 @@ def stage(df: DataFrame, path: str, order: Sequence[str], rows: int, mode: str =
     )
 
 
+def _admission(spark: SparkSession, schema: str, files: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Files (place, time) one write after the other, each in the order of its parts; a first part without rows comes last in its write."""
+    writes: dict[str, list[tuple[int, int, str, int]]] = {}
+    for place, time in files:
+        named = PART.match(place.rsplit("/", 1)[1])
+        part, write, piece = (int(named[1]), named[2], int(named[3])) if named else (0, place, 0)
+        writes.setdefault(write, []).append((part, piece, place, time))
+    first = [parts[0][2] for parts in map(sorted, writes.values()) if len(parts) > 1 and parts[0][0] == 0]
+    # Of an empty partition Spark writes a file only for part 0.
+    filled = {r[0].rsplit("/", 1)[1] for r in spark.read.schema(schema).parquet(*first).select("_metadata.file_path").distinct().collect()} if first else set()
+    bare = {place for place in first if place.rsplit("/", 1)[1] not in filled}
+    in_time = sorted(writes.values(), key=lambda parts: min(p[3] for p in parts))
+    return [(p[2], p[3]) for parts in in_time for p in sorted(parts, key=lambda p: (p[2] in bare, p))]
+
+
+def keep_order(spark: SparkSession, path: str, schema: str) -> None:
+    """Give the staged files modification times in replay order, which is the order in which the file source admits them.
+
+    The tasks of a write end in any order, and so do the times of their files: a later range admitted first moves the watermark past the records of an
+    earlier one. Only times that are out of order are changed. A file system that keeps no times set by hand is refused.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return
+    found = [f for f in system.listStatus(folder) if f.isFile() and f.getPath().getName()[0] not in "_."]
+    last, changed = -1, None
+    for place, time in _admission(spark, schema, [(f.getPath().toString(), f.getModificationTime()) for f in found]):
+        last = max(last + 1, time)
+        if last != time:
+            changed = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place), last
+            system.setTimes(*changed, -1)
+    if changed and system.getFileStatus(changed[0]).getModificationTime() != changed[1]:
+        raise ValueError(f"{path}: this file system does not keep the order of staged files")
+
+
 def read_stream(
     spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None, bytes_per_trigger: int | None = None
 ) -> DataFrame:
     """Staged records as a stream that admits so many files, or files of so many bytes, to a batch.
 
     By bytes, a batch of wide records holds fewer of them; one file is always admitted, so stage files below the bound. Either limit may differ when
-    the stream is started again from its checkpoint: it holds for what is admitted from then on.
+    the stream is started again from its checkpoint: it holds for what is admitted from then on. Files are admitted in replay order, see ``keep_order``.
     """
     if (files_per_trigger is None) == (bytes_per_trigger is None):
         raise ValueError("limit batches by files or by bytes")
+    keep_order(spark, path, schema)
     limit = ("maxFilesPerTrigger", files_per_trigger) if bytes_per_trigger is None else ("maxBytesPerTrigger", bytes_per_trigger)
     return spark.readStream.schema(schema).option(*limit).parquet(path)
 
