@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from brookmill.operators.skew import number_rows
 
 TAKEN = 100_000
+STATE_PARTS = 16
 PART = re.compile(r"part-(\d+)-(.+)-c(\d+)\.")
 
 
@@ -103,9 +104,19 @@ def tick(spark: SparkSession, path: str, schema: str, batches: int, files_per_tr
 
 
 def run_to_end(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> None:
-    """Run ``step`` on each micro-batch until the source as it is now has been read, and stop."""
+    """Run ``step`` on each micro-batch until the source as it is now has been read, and stop.
+
+    A batch is bounded, and so is the number of parts that its state needs. Each part is a task of every batch that reports on all parts
+    to the driver: two hundred parts would be 8 MB a batch. A stream that goes on keeps the parts it began with.
+    """
     writer = stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint)
-    query = writer.trigger(availableNow=True).start()
+    conf, parts = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(parts)
+    conf.set(parts, str(min(int(before), STATE_PARTS)))
+    try:
+        query = writer.trigger(availableNow=True).start()  # takes a copy of the settings
+    finally:
+        conf.set(parts, before)
     try:
         query.awaitTermination()
     finally:
