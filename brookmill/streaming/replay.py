@@ -7,8 +7,12 @@ one is committed. That bounds the rate and gives back-pressure without a queue.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,9 @@ from brookmill.operators.skew import number_rows
 
 TAKEN = 100_000
 STATE_PARTS = 16
+LANES = ("05", "16", "27", "38", "49")  # last digits of the numbers of a lane's parts
+TICK = "tick-"
+_starting = Lock()
 PART = re.compile(r"part-(\d+)-(.+)-c(\d+)\.")
 
 
@@ -83,24 +90,46 @@ def keep_order(spark: SparkSession, path: str, schema: str) -> None:
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None, bytes_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None, bytes_per_trigger: int | None = None, lane: str | None = None
 ) -> DataFrame:
     """Staged records as a stream that admits so many files, or files of so many bytes, to a batch.
 
     By bytes, a batch of wide records holds fewer of them; one file is always admitted, so stage files below the bound. Either limit may differ when
     the stream is started again from its checkpoint: it holds for what is admitted from then on. Files are admitted in replay order, see ``keep_order``.
+    With ``lane``, only the files of its parts are: see ``run_lanes``.
     """
     if (files_per_trigger is None) == (bytes_per_trigger is None):
         raise ValueError("limit batches by files or by bytes")
     keep_order(spark, path, schema)
     limit = ("maxFilesPerTrigger", files_per_trigger) if bytes_per_trigger is None else ("maxBytesPerTrigger", bytes_per_trigger)
-    return spark.readStream.schema(schema).option(*limit).parquet(path)
+    reader = spark.readStream.schema(schema).option(*limit)
+    if lane is not None:
+        parts = [f"part-{'[0-9]' * digits}[{lane}]-*" for digits in (4, 5)]
+        reader = reader.option("pathGlobFilter", "{" + ",".join([*parts, f"{TICK}*"]) + "}")
+    return reader.parquet(path)
+
+
+def run_lanes(spark: SparkSession, path: str, schema: str, files_per_trigger: int, run: Callable[[DataFrame, int], None]) -> None:
+    """``run(stream, lane)`` for every lane of the staged records, side by side; each needs a checkpoint of its own.
+
+    For work on single records only. A batch of a lane is no larger than that of one stream and costs the driver the same; while it does so for one lane, the
+    executors work for the others. A lane is repeated alone after a failure.
+    """
+    lanes = [(read_stream(spark, path, schema, files_per_trigger, lane=digits), i) for i, digits in enumerate(LANES)]
+    with ThreadPool(len(lanes)) as pool:
+        pool.starmap(inheritable_thread_target(spark)(run), lanes, chunksize=1)
 
 
 def tick(spark: SparkSession, path: str, schema: str, batches: int, files_per_trigger: int) -> None:
-    """Add files without rows for ``batches`` more batches: work that waits for its batch gets one."""
+    """Add files without rows for ``batches`` more batches: work that waits for its batch gets one, in every lane."""
+    places = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = places(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for _ in range(batches * files_per_trigger):
-        spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
+        made = f"{path}/_ticks/{uuid.uuid4().hex}"
+        spark.createDataFrame([], schema).coalesce(1).write.parquet(made)
+        part = next(f.getPath() for f in system.listStatus(places(made)) if f.getPath().getName().startswith("part-"))
+        if not system.rename(part, places(f"{path}/{TICK}{part.getName()}")):
+            raise OSError(f"{part}: not renamed")
 
 
 def run_to_end(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> None:
@@ -111,12 +140,13 @@ def run_to_end(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, in
     """
     writer = stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint)
     conf, parts = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(parts)
-    conf.set(parts, str(min(int(before), STATE_PARTS)))
-    try:
-        query = writer.trigger(availableNow=True).start()  # takes a copy of the settings
-    finally:
-        conf.set(parts, before)
+    with _starting:
+        before = conf.get(parts)
+        conf.set(parts, str(min(int(before), STATE_PARTS)))
+        try:
+            query = writer.trigger(availableNow=True).start()  # takes a copy of the settings
+        finally:
+            conf.set(parts, before)
     try:
         query.awaitTermination()
     finally:
@@ -130,8 +160,9 @@ def run_batches(
     transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     partition_by: Sequence[str] = (),
     interval_s: float | None = None,
+    lane: int | None = None,
 ) -> None:
-    """Run ``transform`` on each micro-batch and write it to ``out/batch_id=N``.
+    """Run ``transform`` on each micro-batch and write it to ``out/batch_id=N``; lanes take turns in the numbers.
 
     A batch is one Parquet write that replaces its own folder, so a batch repeated after a failure neither
     loses nor doubles records. With ``partition_by`` the kinds of record (say, good and dead) are folders
@@ -140,8 +171,9 @@ def run_batches(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        number = batch_id if lane is None else batch_id * len(LANES) + lane
         transform(batch).write.mode("overwrite").partitionBy(*partition_by).parquet(
-            f"{out}/batch_id={batch_id}"
+            f"{out}/batch_id={number}"
         )
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
