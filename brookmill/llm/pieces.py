@@ -7,13 +7,15 @@ automaton finds at a place, keeps it if it is compatible with its predecessor, e
 one, and goes back one piece when none is left. Places from which no way leads on are marked in a bitfield and
 never tried twice: the work is linear in the text.
 
-A text is first cut where no merge can happen: between two characters that stand side by side in no piece. Units
-repeat, so their encodings are kept in a bounded cache.
+A text is first cut where no merge can happen: after words and marks, between two characters that stand side by side in
+no piece. Such units repeat, so their encodings are kept in a bounded cache.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import ahocorasick
@@ -24,11 +26,47 @@ from sentencepiece import SentencePieceProcessor
 from brookmill.llm.common import Rows, hexdigest, map_batches
 
 SPACE = "▁"
-CACHED_UNITS = 100_000
-CACHED_PAIRS = 150_000
+CACHED_UNITS = 200_000
+CACHED_PAIRS = 400_000
 CACHED_CHARS = 64
 REPLACEMENT = "�"
-RUNS = re.compile(f"{SPACE}*[^\\W_]+|{SPACE}+|[^{SPACE}]")
+RUN = f"(?:{SPACE}*[^\\W_]+|{SPACE}+|[^{SPACE}])"
+
+
+def any_of(characters: Iterable[str]) -> str:
+    return f"[{''.join(map(re.escape, sorted(set(characters))))}]"
+
+
+def units_pattern(joined: set[str]) -> re.Pattern[str]:
+    """Units of a text: runs of word characters, spaces and marks, with what follows where the two characters at the border are ``joined``."""
+    border = defaultdict(list)
+    for pair in joined:
+        if len(re.findall(RUN, pair)) > 1:
+            border[pair[0]].append(pair[1])
+    if not border:
+        return re.compile(RUN)
+    pairs = "|".join(f"(?<={re.escape(left)}){any_of(right)}" for left, right in sorted(border.items(), reverse=True))
+    both = f"(?<={any_of(border)})(?={any_of(c for right in border.values() for c in right)})"  # most borders end here
+    return re.compile(f"{RUN}(?:{both}(?={pairs}){RUN})*+")
+
+
+class Known(dict[str, str]):
+    """What ``find`` says of units: of the last ``CACHED_UNITS`` new ones, and as many before these."""
+
+    def __init__(self, find: Callable[[str], str]):
+        self.find = find
+        self.old: dict[str, str] = {}
+
+    def __missing__(self, unit: str) -> str:
+        found = self.old.get(unit)
+        if found is None:
+            found = self.find(unit)
+        if len(unit) <= CACHED_CHARS:
+            if len(self) >= CACHED_UNITS:
+                self.old = dict(self)
+                self.clear()
+            self[unit] = found
+        return found
 
 
 class PieceCodec:
@@ -60,12 +98,13 @@ class PieceCodec:
         for piece in reached:
             self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
+        self.width = max(map(len, reached))
         self.shorter = {p: self.prefix(p, reached) for p in reached if len(p) > 1}
-        self.joined = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
-        self.spaced = any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        self.units_of = units_pattern({piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)})
+        self.names = {p: str(i) for p, i in self.ids.items()}
+        self.named = {name: p for p, name in self.names.items()}
         self._compatible: dict[tuple[str, str], bool] = {}
-        self._young: dict[str, str] = {}
-        self._old: dict[str, str] = {}
+        self._known = Known(self.unit_names)
         self._odd: dict[str, str] = {}  # units that their ids do not spell
 
     def prefix(self, piece: str, pieces: set[str]) -> str:
@@ -122,11 +161,12 @@ class PieceCodec:
 
     def longest(self, unit: str, place: int) -> str:
         """The longest piece at ``place``, or one character that is no piece."""
-        for end, length in self.automaton.iter_long(unit, place):
-            if end - length + 1 == place:
-                return unit[place : end + 1]
+        ahead = unit[place : place + self.width]  # the automaton copies what it is given
+        for end, length in self.automaton.iter_long(ahead):
+            if end + 1 == length:
+                return ahead[:length]
             break
-        return unit[place]
+        return ahead[0]
 
     def split(self, unit: str) -> list[str]:
         """Pieces of one unit by backtracking."""
@@ -134,7 +174,20 @@ class PieceCodec:
         size = len(unit)
         failed = bytearray(size // 8 + 1)
         chosen: list[str] = []
-        place, piece = 0, self.longest(unit, 0)
+        place, last = 0, ""
+        for end, length in self.automaton.iter_long(unit):  # one pass gives the longest pieces, as far as they are compatible
+            if end - length + 1 != place:
+                break
+            piece = unit[place : end + 1]
+            if last:
+                fits = compatible.get((last, piece))
+                if not (self.compatible(last, piece) if fits is None else fits):
+                    break
+            chosen.append(piece)
+            last, place = piece, end + 1
+        if place == size:
+            return chosen
+        piece = self.longest(unit, place)
         while True:
             while piece:
                 end = place + len(piece)
@@ -157,59 +210,30 @@ class PieceCodec:
                 place -= len(piece)
                 piece = self.shorter.get(piece, "")
 
-    def cut(self, unit: str) -> list[str]:
-        """``unit`` cut after words and marks, where the two characters stand side by side in no piece."""
-        parts: list[str] = []
-        for run in RUNS.findall(unit):
-            if parts and parts[-1][-1] + run[0] in self.joined:
-                parts[-1] += run
-            else:
-                parts.append(run)
-        return parts
-
-    def part_ids(self, part: str) -> list[int]:
+    def unit_ids(self, unit: str) -> list[int]:
         ids: list[int] = []
-        for piece in [part] if len(part) == 1 else self.split(part):
+        for piece in [unit] if len(unit) == 1 else self.split(unit):
             if piece in self.ids:
                 ids.append(self.ids[piece])
             else:
                 ids.extend(self.byte_ids[b] for b in piece.encode())
         return ids
 
-    def unit_ids(self, unit: str) -> list[int]:
-        return [i for part in self.cut(unit) for i in self.part_ids(part)]
-
-    def units(self, text: str) -> list[str]:
-        """``text`` with its leading space, cut before runs of spaces where the vocabulary allows it."""
-        if not text:
-            return []
-        marked = SPACE + text.replace(" ", SPACE)
-        return [marked] if self.spaced else re.findall(f"{SPACE}+[^{SPACE}]*", marked)
-
-    def known(self, unit: str) -> str:
+    def unit_names(self, unit: str) -> str:
         """Comma-joined ids of a unit. What they spell is compared with the unit, and noted if it differs."""
-        found = self._young.get(unit)
-        if found is None:
-            found = self._old.get(unit)  # the units before the last ``CACHED_UNITS`` new ones
-            if found is None:
-                parts = self.cut(unit)
-                if len(parts) > 1:
-                    found = ",".join([self.known(part) for part in parts])
-                    if self._odd:
-                        self._note(unit, "".join([self._odd.get(part, part) for part in parts]))
-                else:
-                    ids = self.part_ids(unit)
-                    found = ",".join(map(str, ids))
-                    self._note(unit, self.spelled(ids))
-            if len(unit) <= CACHED_CHARS:
-                if len(self._young) >= CACHED_UNITS:
-                    self._old, self._young = self._young, {}
-                self._young[unit] = found
-        return found
-
-    def _note(self, unit: str, spelled: str) -> None:
-        if spelled.replace(" ", SPACE) != unit:
+        try:
+            names = [self.names[piece] for piece in ([unit] if len(unit) == 1 else self.split(unit))]
+            spelled = "".join([self.named[name] for name in names])
+        except KeyError:  # characters that are no pieces
+            ids = self.unit_ids(unit)
+            names, spelled = map(str, ids), self.spelled(ids).replace(" ", SPACE)
+        if spelled != unit:
             self._odd[unit] = spelled
+        return ",".join(names)
+
+    def units(self, text: str) -> list[str]:
+        """``text`` with its leading space, cut after words and marks, where the two characters stand side by side in no piece."""
+        return self.units_of.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def encode(self, text: str) -> list[int]:
         return [i for unit in self.units(text) for i in self.unit_ids(unit)]
@@ -240,7 +264,7 @@ class PieceCodec:
         Byte pieces of one character lie in one unit, so that units may be spelled apart.
         """
         units = self.units(text)
-        ids = ",".join([self.known(unit) for unit in units])
+        ids = ",".join(map(self._known.__getitem__, units))
         spelled = "".join([self._odd.get(unit, unit) for unit in units] if self._odd else units)
         return ids, spelled.replace(SPACE, " ").removeprefix(" ")
 
