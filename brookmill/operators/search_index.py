@@ -1,8 +1,8 @@
 """Regular-expression search over an index of trigrams.
 
-The index has a row per document and distinct trigram of its text in lower case, ordered by trigram, so that a search reads only the row groups
-of the trigrams it asks for. A pattern asks for those of the literal runs that every match contains. Only documents that have all of them are
-tried; a pattern without such a run is tried on all.
+The index has a row per distinct trigram of 64 documents with neighbouring ids, in lower case, with a bit for each that has it. It is ordered by
+trigram, so that a search reads only the row groups of the trigrams it asks for. A pattern asks for those of the literal runs that every match
+contains. Only documents that have all of them are tried; a pattern without such a run is tried on all.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from brookmill.functions.text import char_grams
 from brookmill.operators.dashboard import regex_search
@@ -18,6 +19,9 @@ from brookmill.operators.skew import BROADCAST_BYTES, fits
 from brookmill.session import materialise
 
 GRAM = 3
+BITS = 6
+PLACES = 1 << BITS
+INTEGERS = (ByteType(), ShortType(), IntegerType(), LongType())
 CLASSES = "bBdDsSwWhHvV"  # escapes that stand for a place or one character of a class
 
 
@@ -74,16 +78,26 @@ def required_grams(pattern: str) -> list[str]:
 
 
 def build_index(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``gram, id`` of every distinct trigram of every text, written in the order of the trigrams. Null texts have none; ids are a key."""
-    grams = docs.select(F.explode(F.array_distinct(char_grams(F.lower(text), GRAM))).alias("gram"), id)
-    ranged = grams.repartitionByRange("gram", id).sortWithinPartitions("gram", id)
-    return materialise(ranged, "trigrams")
+    """``gram, block, bits`` of every distinct trigram of the texts of ids ``64 * block`` to ``64 * block + 63``, written in the order of the trigrams.
+
+    Bit i of ``bits`` is set if the text of id ``64 * block + i`` has the trigram. Null texts have none; ids are whole numbers and a key. Far apart,
+    they share no rows, which costs rows but no results. Texts are shuffled by block, so that trigrams are counted once, where they are found.
+    """
+    if docs.schema[id].dataType not in INTEGERS:
+        raise ValueError(f"{id}: ids are whole numbers")
+    number = F.col(id).cast("bigint")
+    blocks = docs.select(F.shiftright(number, BITS).alias("block"), number.bitwiseAND(PLACES - 1).cast("int").alias("_place"), F.lower(text).alias("_lower")).repartition("block")
+    grams = blocks.select("block", F.expr("shiftleft(1L, _place)").alias("_bit"), F.explode(char_grams(F.col("_lower"), GRAM)).alias("gram"))
+    rows = materialise(grams.groupBy("gram", "block").agg(F.bit_or("_bit").alias("bits")), "blocks")  # ranges read their rows twice
+    return materialise(rows.repartitionByRange("gram", "block").sortWithinPartitions("gram", "block"), "trigrams")
 
 
 def candidates(index: DataFrame, grams: Sequence[str], id: str = "doc_id") -> DataFrame:
     """Ids of the documents that have all of ``grams``."""
-    postings = index.where(F.col("gram").isin(list(grams))).groupBy(id).agg(F.count("*").alias("_n"))
-    return postings.where(F.col("_n") == len(grams)).select(id)
+    postings = index.where(F.col("gram").isin(list(grams))).groupBy("block").agg(F.count("*").alias("_n"), F.bit_and("bits").alias("_bits"))
+    common = postings.where((F.col("_n") == len(grams)) & (F.col("_bits") != 0))
+    places = common.select("block", "_bits", F.explode(F.array(*map(F.lit, range(PLACES)))).alias("_place")).where(F.getbit("_bits", F.col("_place")) == 1)
+    return places.select((F.shiftleft("block", BITS) + F.col("_place")).alias(id))
 
 
 def indexed_search(docs: DataFrame, index: DataFrame, pattern: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
