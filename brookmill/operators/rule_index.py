@@ -6,6 +6,8 @@ documents to rules. Documents give just their grams that occur in some literal,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +30,19 @@ def _grams(text: str) -> Column:
     return F.array_distinct(char_grams(F.col(text), GRAM))
 
 
+def _may_match(literals: list[str | None] | None) -> Column:
+    """Does ``_text`` hold one of the literals? True if there are none, or one is unknown."""
+    if not literals or None in literals:
+        return F.lit(True)
+    return reduce(Column.__or__, [F.contains(F.lower("_text"), F.lit(part)) for part in literals])
+
+
 def rule_hits(docs: DataFrame, rules: DataFrame, id: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``id, rule_id, weight`` of every match of a rule in a text; null texts match none, and ids are a key.
 
     ``rules`` has ``rule_id`` (a key), ``pattern``, ``weight`` and ``literals``: texts in lower case of which every match contains one, in any
-    case. A rule with a null or empty list, or with a literal shorter than three characters, is tried on every text; such rules should be few. A
-    pattern that Spark cannot read fails.
+    case. A rule with a null or empty list is tried on every text, and one with a literal shorter than three characters is sought in every text; such
+    rules should be few. A pattern that Spark cannot read fails.
     """
     literals = rules.select("rule_id", F.explode("literals").alias("literal")).distinct()
     short = literals.where(F.char_length("literal") < GRAM).select("rule_id")
@@ -55,16 +64,22 @@ def rule_hits(docs: DataFrame, rules: DataFrame, id: str = "doc_id", text: str =
     by_gram = materialise(anchors.groupBy("gram").agg(F.collect_set("rule_id").alias("_rules"), F.max("n").alias("n")), "anchors")
     pointed = lookup(found, by_gram, ["gram"], "n", [id], broadcast_bytes).select(id, F.explode("_rules").alias("rule_id"))
 
-    always = rules.join(everywhere, "rule_id", "left_semi").select("rule_id", "pattern", "weight")
-    sought = rules.select("rule_id", "pattern", "weight")
-    named = F.struct("rule_id", "pattern", "weight")
+    sought = rules.select("rule_id", "pattern", "weight", "literals")
     pairs = pointed.distinct()
     pairs = pairs.join(F.broadcast(sought) if fits(sought, broadcast_bytes) else sought, "rule_id")
-    candidates = pairs.groupBy(F.col(id).alias("_id")).agg(F.collect_list(named).alias("_tried"))
-    every = always.agg(F.coalesce(F.collect_list(named), F.array().cast(candidates.schema["_tried"].dataType))).scalar()
+    candidates = pairs.groupBy(F.col(id).alias("_id")).agg(F.collect_list(F.struct(*sought.columns)).alias("_tried"))
 
+    # Most texts with the gram lack the literal. That is told without the pattern, which is compiled for each text where it is a row's.
     texts = docs.where(F.col(text).isNotNull()).select(F.col(id), F.col(text).alias("_text"))
-    both = texts.join(candidates, F.col(id) == F.col("_id"), "left").withColumn("_every", every)
-    tried = F.concat(F.coalesce("_tried", F.array().cast(candidates.schema["_tried"].dataType)), F.col("_every"))
-    hits = F.filter(tried, lambda r: F.regexp_like(F.col("_text"), r["pattern"]))
-    return both.select(id, F.explode(hits).alias("_hit")).select(id, "_hit.rule_id", "_hit.weight")
+    whole = F.transform(F.array(F.lower("_text")), lambda lower: F.filter("_tried", lambda r: F.exists(r["literals"], lambda part: F.contains(lower, part))))
+    hits = F.filter(F.flatten(whole), lambda r: F.regexp_like(F.col("_text"), r["pattern"]))
+    pointed_hits = texts.join(candidates, F.col(id) == F.col("_id")).select(id, F.explode(hits).alias("_hit")).select(id, "_hit.rule_id", "_hit.weight")
+
+    # The rules for all texts are few: each becomes a column of one scan, is compiled once, and is tried where one of its short literals stands.
+    always = rules.join(everywhere, "rule_id", "left_semi").select(*sought.columns).collect()
+    if not always:
+        return pointed_hits
+    named = [F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.weight).cast("double").alias("weight")) for r in always]
+    matches = [F.when(_may_match(r.literals) & F.regexp_like("_text", F.lit(r.pattern).cast("string")), name) for r, name in zip(always, named)]
+    each = texts.select(id, F.explode(F.filter(F.array(*matches), lambda hit: hit.isNotNull())).alias("_hit"))
+    return pointed_hits.unionAll(each.select(id, "_hit.rule_id", "_hit.weight"))
