@@ -109,6 +109,12 @@ def read_stream(
     return reader.parquet(path)
 
 
+def side_by_side(spark: SparkSession, work: Callable[[int], None], lanes: Sequence[int]) -> None:
+    """``work(lane)`` for all lanes at once, each in a thread of its own."""
+    with ThreadPool(len(lanes)) as pool:
+        pool.map(inheritable_thread_target(spark)(work), lanes, chunksize=1)
+
+
 def run_lanes(spark: SparkSession, path: str, schema: str, files_per_trigger: int, run: Callable[[DataFrame, int], None]) -> None:
     """``run(stream, lane)`` for every lane of the staged records, side by side; each needs a checkpoint of its own.
 
@@ -132,7 +138,9 @@ def tick(spark: SparkSession, path: str, schema: str, batches: int, files_per_tr
             raise OSError(f"{part}: not renamed")
 
 
-def run_to_end(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+def run_to_end(
+    stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None], mode: str = "append", state_parts: int = STATE_PARTS
+) -> None:
     """Run ``step`` on each micro-batch until the source as it is now has been read, and stop.
 
     A batch is bounded, and so is the number of parts that its state needs. Each part is a task of every batch that reports on all parts
@@ -142,7 +150,7 @@ def run_to_end(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, in
     conf, parts = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
     with _starting:
         before = conf.get(parts)
-        conf.set(parts, str(min(int(before), STATE_PARTS)))
+        conf.set(parts, str(min(int(before), state_parts)))
         try:
             query = writer.trigger(availableNow=True).start()  # takes a copy of the settings
         finally:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmill.functions.numbers import instant, wall_clock
-from brookmill.streaming.replay import run_to_end
+from brookmill.streaming.replay import LANES, STATE_PARTS, run_to_end
 
 SESSIONS = "user_id BIGINT, start TIMESTAMP_NTZ, end TIMESTAMP_NTZ, n BIGINT, purchases BIGINT"
 
@@ -28,25 +28,37 @@ def stream_sessions(events: DataFrame, gap: str = "6 hours", lateness: str = "1
     )
 
 
-def run_sessions(events: DataFrame, out: str, checkpoint: str, gap_s: int, lateness: str = "1 hour") -> None:
+def run_sessions(events: DataFrame, out: str, checkpoint: str, gap_s: int, lateness: str = "1 hour", lane: int | None = None) -> None:
     """Write the sessions that close while the source, as it is now, is read to its end; call it again to go on.
 
-    Each batch replaces its own folder. The state holds the open sessions only.
+    Each batch replaces its own folder; lanes take turns in the numbers, and share the parts of the state. The state holds the open
+    sessions only.
     """
 
     def write(closed: DataFrame, batch_id: int) -> None:
+        number = batch_id if lane is None else batch_id * len(LANES) + lane
         # Not a filter of the stream: that would be applied before the watermark is taken.
-        closed.where("user_id IS NOT NULL").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        closed.where("user_id IS NOT NULL").write.mode("overwrite").parquet(f"{out}/batch_id={number}")
 
-    run_to_end(stream_sessions(events, f"{gap_s} seconds", lateness), checkpoint, write)
+    parts = STATE_PARTS if lane is None else -(-STATE_PARTS // len(LANES))
+    run_to_end(stream_sessions(events, f"{gap_s} seconds", lateness), checkpoint, write, state_parts=parts)
+
+
+def user_lane() -> Column:
+    """The lane of an event, from 0: a user's events are all in one, and events without a user, which end no session, are dealt out."""
+    return F.pmod(F.xxhash64(F.coalesce("user_id", "event_id")), F.lit(len(LANES))).cast("int")
+
+
+def newest_row(events: DataFrame, later: timedelta = timedelta()) -> DataFrame:
+    """One row without a user at the newest time, or ``later``: with it, a lane's watermark gets as far as that of all events."""
+    last = events.agg((F.max("ts") + F.lit(later)).alias("_last"))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "ts" else F.col("_last").alias("ts") for f in events.schema]
+    return last.where("_last IS NOT NULL").select(*empty)
 
 
 def closing_row(events: DataFrame, gap_s: int) -> DataFrame:
     """One row without a user, so late that every session is over: the last thing to stage. Nothing on time can follow it."""
-    far = F.max("ts") + F.lit(timedelta(days=400, seconds=4 * gap_s))
-    last = events.agg(far.alias("_far"))
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "ts" else F.col("_far").alias("ts") for f in events.schema]
-    return last.where("_far IS NOT NULL").select(*empty)
+    return newest_row(events, timedelta(days=400, seconds=4 * gap_s))
 
 
 def closed_sessions(spark: SparkSession, out: str) -> DataFrame:
